@@ -107,9 +107,16 @@ SELECT 'csv:' || CAST(p_partkey AS STRING) AS id, p_name AS name, p_type AS even
 FROM part"""
 
 
+def _local_times(events: DataFrame) -> DataFrame:
+    """Moments without a zone, as the SQL side has them."""
+    return events.withColumns(
+        {name: F.col(name).cast("timestamp_ntz") for name in ("start_time", "end_time")}
+    )
+
+
 @query(EVENTO_SQL)
 def norm_csv_eventos(w: Workspace) -> DataFrame:
-    return normalize_seed.norm_csv_eventos(raw_events(w))
+    return _local_times(normalize_seed.norm_csv_eventos(raw_events(w)))
 
 
 MESA_SQL = """
@@ -195,7 +202,7 @@ def _lenient_attendance(w: Workspace) -> DataFrame:
 
 @query(EVENTO_SQL, name="lenient_normalize_eventos")
 def _lenient_events(w: Workspace) -> DataFrame:
-    return _lenient(w)["eventos"]
+    return _local_times(_lenient(w)["eventos"])
 
 
 @query(MESA_SQL.format(vip="s_suppkey % 10 > 5"), name="lenient_normalize_mesas")
@@ -222,7 +229,7 @@ def norm_v2_eventos(w: Workspace) -> DataFrame:
         F.col("p_partkey").alias("id"), F.col("p_name").alias("event_name"),
         F.col("p_type").alias("event_type"), _text("p_size").alias("event_state_id"),
     )
-    return normalize_cdc.norm_v2_eventos(fed)
+    return _local_times(normalize_cdc.norm_v2_eventos(fed))
 
 
 @query("""
@@ -519,14 +526,13 @@ def scan_seed_csv(w: Workspace) -> DataFrame:
 
 def notifications(w: Workspace) -> DataFrame:
     """One message per order: JSON, bare address, status file, empty or unknown."""
-    key = F.col("o_orderkey")
     path = F.concat(F.lit("data/transactions/orders/"), _text("o_custkey"), F.lit(".parquet"))
-    kind = key % 5
+    kind = F.col("o_orderpriority")
     return w.table("orders").select(
-        F.when(kind == 0, F.to_json(F.struct(F.lit("feed").alias("bucket"), path.alias("key"))))
-        .when(kind == 1, F.concat(F.lit("s3://feed/"), path))
-        .when(kind == 2, F.lit("s3://feed/data/public/awsdms_status/1.parquet"))
-        .when(kind == 3, F.lit(""))
+        F.when(kind == "1-URGENT", F.to_json(F.struct(F.lit("feed").alias("bucket"), path.alias("key"))))
+        .when(kind == "2-HIGH", F.concat(F.lit("s3://feed/"), path))
+        .when(kind == "3-MEDIUM", F.lit("s3://feed/data/public/awsdms_status/1.parquet"))
+        .when(kind == "5-LOW", F.lit(""))
         .otherwise(F.concat(F.lit("order "), _text("o_orderkey")))
         .alias("message")
     )
@@ -534,7 +540,7 @@ def notifications(w: Workspace) -> DataFrame:
 
 MANIFEST_SQL = """
 SELECT DISTINCT 's3://feed/data/transactions/orders/' || CAST(o_custkey AS STRING) || '.parquet' AS uri
-FROM orders WHERE o_orderkey % 5 IN (0, 1)"""
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
 
 
 @query(f"SELECT uri, 'transactions.orders' AS table_name FROM ({MANIFEST_SQL}) m")
@@ -557,7 +563,7 @@ def scan_cdc_parquet(w: Workspace) -> DataFrame:
 
 
 @query(f"""SELECT uri, CASE WHEN EXISTS (SELECT 1 FROM orders
-         WHERE o_orderkey % 5 = 0 AND m.uri = 's3://feed/data/transactions/orders/' || CAST(o_custkey AS STRING) || '.parquet')
+         WHERE o_orderpriority = '1-URGENT' AND m.uri = 's3://feed/data/transactions/orders/' || CAST(o_custkey AS STRING) || '.parquet')
        THEN 'done' ELSE 'open' END AS status FROM ({MANIFEST_SQL}) m""", name="file_ledger")
 def _file_ledger(w: Workspace) -> DataFrame:
     """Marks the files announced as JSON, keeps recent entries, and sorts all files."""
@@ -592,11 +598,11 @@ def upsert_nodes(w: Workspace) -> DataFrame:
 
 @query("""SELECT a.user_id, a.event_id, a.ticket_tier FROM fx_asistio_a a
 JOIN fx_evento e ON e.id = a.event_id JOIN fx_usuario u ON u.id = a.user_id
-WHERE e.vip_pull > 1000""")
+WHERE e.vip_pull > 950""")
 def upsert_edges(w: Workspace) -> DataFrame:
     table = _table(w, "edges", "user_id", "event_id")
     edges = w.asistio_a.select("user_id", "event_id", "ticket_tier")
-    known = w.evento.filter("vip_pull > 1000")
+    known = w.evento.filter("vip_pull > 950")
     ends = ("user_id", w.usuario, "id"), ("event_id", known, "id")
     keyed.upsert_edges(table, edges.withColumn("ticket_tier", F.lit("old")), *ends)
     return keyed.upsert_edges(table, edges, *ends)
