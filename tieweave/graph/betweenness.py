@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieweave.graph.social import BROADCAST_ROWS, SocialGraph
-from tieweave.session import RoundTables
+from tieweave.graph.social import SocialGraph
+from tieweave.session import BROADCAST_ROWS, RoundTables
 
 
 class _Walk:
@@ -24,24 +24,18 @@ class _Walk:
     def __init__(self, graph: SocialGraph, weighted: bool, tables: RoundTables) -> None:
         self.tables = tables
         cost = F.round(F.col("weight") * 1000) if weighted else F.lit(1)
+        seed = F.lit(graph.hash_seed())
         connected = graph.vertices.filter("degree > 0")
-        self.names = connected.select("id", self._hash(connected, "id").alias("node"))
+        self.names = connected.select("id", F.xxhash64("id", seed).alias("node"))
         steps = graph.edges.select(
-            self.key("src").alias("node"), self.key("dst").alias("to"), cost.cast("long").alias("step")
+            F.xxhash64("src", seed).alias("node"), F.xxhash64("dst", seed).alias("to"),
+            cost.cast("long").alias("step"),
         )
         still = self.names.select("node", F.col("node").alias("to"), F.lit(None).cast("long").alias("step"))
         self.edges, taken = tables.write(steps.unionByName(still), least=F.min("step"))
         self.rows, self.least = taken["rows"], taken["least"]
         self.count = self.rows - graph.edge_count
 
-    def _hash(self, vertices: DataFrame, name: str):
-        for seed in range(16):
-            self.key = lambda column, seed=seed: F.xxhash64(column, F.lit(seed))
-            rows, keys = vertices.agg(F.count(name), F.countDistinct(self.key(name))).first()
-            if rows == keys:
-                return self.key(name)
-        raise ValueError("vertex ids are not unique")
-
     def from_state(self, state: DataFrame) -> DataFrame:
         if self.rows <= BROADCAST_ROWS:
             return state.repartition("source").join(F.broadcast(self.edges), "node")

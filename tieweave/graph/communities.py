@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieweave.graph.social import SocialGraph, sent_whole
-from tieweave.session import RoundTables
+from tieweave.graph.social import SocialGraph
+from tieweave.session import RoundTables, sent_whole
 
 
 @dataclass
@@ -28,46 +28,40 @@ class _Level:
 def _one_round(level: _Level, state: DataFrame, two_m: float, half: int, seed: int) -> DataFrame:
     """Community of every vertex after half of them may have moved.
 
-    ``gained`` is what each move adds to modularity on its own.
+    ``gained`` is what each move adds to modularity on its own. Edges stay where
+    they are; a small state is broadcast to them, a large one is joined.
     """
     totals = state.groupBy("community").agg(
         F.sum("k").alias("total"), F.count(F.lit(1)).alias("size")
     )
-    placed = state.join(sent_whole(totals, level.rows), "community")
-    far = placed.select(
-        F.col("id").alias("dst"), F.col("community").alias("to"),
-        F.col("total").alias("to_total"), F.col("size").alias("to_size"),
-    )
+    placed = sent_whole(state.select("id", "k", "community"), level.rows)
+    totals = sent_whole(totals, level.rows)
     turn = F.pmod(F.xxhash64("src", F.lit(seed)), F.lit(2)) == half
     links = (
         level.edges.filter(turn)
-        .join(sent_whole(far, level.rows), "dst")
-        .groupBy("src", "to")
-        .agg(
-            F.sum("weight").alias("links"),
-            F.first("to_total").alias("to_total"), F.first("to_size").alias("to_size"),
-        )
+        .join(placed, F.col("dst") == F.col("id"))
+        .groupBy("src", F.col("community").alias("to"))
+        .agg(F.sum("weight").alias("links"))
+        .join(totals.toDF("to", "to_total", "to_size"), "to")
+        .join(placed, F.col("src") == F.col("id"))
+        .join(totals, "community")
     )
     own = F.col("to") == F.col("community")
     expected = F.col("k") * (F.col("to_total") - F.when(own, F.col("k")).otherwise(0.0)) / two_m
     gain = F.col("links") - expected
     allowed = own | (F.col("to_size") > 1) | (F.col("size") > 1) | (F.col("to") < F.col("community"))
-    best = (
-        links.withColumnRenamed("src", "id")
-        .join(sent_whole(placed, level.rows), "id")
-        .groupBy("id")
-        .agg(
-            F.min(F.when(allowed, F.struct((-gain).alias("loss"), F.col("to")))).alias("best"),
-            F.max(F.when(own, gain)).alias("stay"),
-        )
+    stay = F.coalesce(F.max(F.when(own, gain)), F.first(-F.col("k") * (F.col("total") - F.col("k")) / two_m))
+    best = F.min(F.when(allowed, F.struct((-gain).alias("loss"), F.col("to"))))
+    moves = (
+        links.groupBy("id")
+        .agg(best.alias("best"), stay.alias("stay"))
+        .select("id", F.col("best.to").alias("to"), (-F.col("best.loss") - F.col("stay")).alias("rise"))
+        .filter("rise > 1e-9")
     )
-    stay = F.coalesce("stay", -F.col("k") * (F.col("total") - F.col("k")) / two_m)
-    rise = F.coalesce(-F.col("best.loss") - stay, F.lit(0.0))
-    better = rise > 1e-9
-    return placed.join(sent_whole(best, level.rows), "id", "left").select(
+    return state.join(sent_whole(moves, level.rows), "id", "left").select(
         "id", "k",
-        F.when(better, F.col("best.to")).otherwise(F.col("community")).alias("community"),
-        F.when(better, 2 * rise / two_m).otherwise(0.0).alias("gained"),
+        F.coalesce("to", "community").alias("community"),
+        (2 * F.coalesce("rise", F.lit(0.0)) / two_m).alias("gained"),
     )
 
 
@@ -88,6 +82,10 @@ def _move_vertices(
     return state if sum(promised) else None
 
 
+def _by_start(edges: DataFrame) -> DataFrame:
+    return edges.repartition("src").sortWithinPartitions("src").persist()
+
+
 def louvain(
     graph: SocialGraph, max_levels: int = 10, max_rounds: int = 10, least_gain: float = 1e-3
 ) -> DataFrame:
@@ -98,14 +96,18 @@ def louvain(
     smallest member.
     """
     tables = RoundTables(graph.vertices.sparkSession, "louvain")
+    seed = F.lit(graph.hash_seed())
+    key = lambda name: F.xxhash64(name, seed)
     connected = graph.vertices.filter("degree > 0")
-    nodes = connected.select("id", F.col("degree").cast("double").alias("k"))
-    members = nodes.select("id", F.col("id").alias("community"))
+    nodes = connected.select(key("id").alias("id"), F.col("degree").cast("double").alias("k"))
+    members = connected.select("id", key("id").alias("community"))
     two_m, squares = nodes.agg(F.sum("k"), F.sum(F.col("k") * F.col("k"))).first()
     quality = -(squares or 0.0) / (two_m or 1.0) ** 2
-    edges = graph.edges.select("src", "dst", F.lit(1.0).alias("weight"))
+    edges = _by_start(
+        graph.edges.select(key("src").alias("src"), key("dst").alias("dst"), F.lit(1.0).alias("weight"))
+    )
     level = _Level(edges, nodes, graph.vertex_count)
-    for number in range(max_levels if two_m else 0):
+    for _ in range(max_levels if two_m else 0):
         state = _move_vertices(level, two_m, max_rounds, least_gain, tables)
         if state is None:
             break
@@ -133,13 +135,12 @@ def louvain(
                 "id", F.col("next").alias("community")
             )
         )
-        if number:
-            level.edges.unpersist()
+        level.edges.unpersist()
+        level = _Level(_by_start(folded), sums, spread["rows"])
         if reached < quality + least_gain or not between["rows"]:
             break
         quality = reached
-        folded = folded.repartition("src").sortWithinPartitions("src").persist()
-        level = _Level(folded, sums, spread["rows"])
+    level.edges.unpersist()
     names = members.groupBy("community").agg(F.min("id").alias("name"))
     named = members.join(names, "community").select("id", F.col("name").alias("community"))
     loners = graph.vertices.filter("degree = 0").select("id", F.col("id").alias("community"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tieweave.graph.social import SocialGraph, sent_whole
-from tieweave.session import RoundTables
+from tieweave.graph.social import SocialGraph
+from tieweave.session import RoundTables, sent_whole
 
 # Damping and rounds of the ranking, and the score of a loner.
 DAMPING, ROUNDS = 0.85, 20

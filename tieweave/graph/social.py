@@ -8,16 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieweave.operators.pairs import BLOCK_ROWS, both_directions
-from tieweave.session import cut_lineage
-
-# A narrow table of at most this many counted rows is sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
-def sent_whole(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcasts ``df`` when its counted ``rows`` allow it; Spark decides otherwise."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
+from tieweave.session import BROADCAST_ROWS, cut_lineage
 
 @dataclass
 class SocialGraph:
@@ -58,6 +49,21 @@ class SocialGraph:
             )
         return met.withColumnRenamed("dst", "to").select(*columns)
 
+    def hash_seed(self) -> int:
+        """A seed under which ``xxhash64(id, seed)`` differs for all vertices.
+
+        Jobs with many rounds use that number in place of the id text.
+        """
+        for seed in range(16):
+            key = F.xxhash64("id", F.lit(seed))
+            if self.vertices.agg(F.countDistinct(key)).first()[0] == self.vertex_count:
+                return seed
+        raise ValueError("vertex ids are not unique")
+
+    def hub_blocks(self) -> DataFrame | None:
+        """Blocks per hub, keyed like the start of an edge."""
+        return None if self.hubs is None else self.hubs.withColumnRenamed("id", "src")
+
     def release(self) -> None:
         for table in (self.edges, self.vertices, self.hubs):
             if table is not None:

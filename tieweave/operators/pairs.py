@@ -10,32 +10,83 @@ over the cluster. Sums over a pair are combined map-side before their shuffle.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tieweave.session import RoundTables, sent_whole
+
 BLOCK_ROWS = 2000
 
 
-def place_in_blocks(
+@dataclass
+class Groups:
+    """Members by group, and the groups that need blocks (keys and ``blocks``).
+
+    ``large`` is None when every group is small enough to be met at once.
+    """
+
+    members: DataFrame
+    keys: list[str]
+    member: str
+    large: DataFrame | None
+
+    def placed(self) -> DataFrame:
+        """Members with the ``blocks`` of their group and their own ``block``."""
+        if self.large is None:
+            return self.members.withColumns({"blocks": F.lit(1), "block": F.lit(0)})
+        blocks = F.coalesce("blocks", F.lit(1))
+        return (
+            self.members.join(self.large, self.keys, "left")
+            .withColumn("blocks", blocks)
+            .withColumn("block", F.pmod(F.xxhash64(self.member), F.col("blocks")).cast("int"))
+        )
+
+    def meet(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """Joins two sides of ``placed`` rows so that all members of a group meet."""
+        if self.large is None:
+            unplaced = [side.drop("blocks", "block") for side in (left, right)]
+            return unplaced[0].join(unplaced[1], self.keys)
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        rows = left.withColumn("column_block", other).withColumnRenamed("block", "row_block")
+        columns = right.withColumn("row_block", other).withColumnRenamed("block", "column_block")
+        cell = [*self.keys, "row_block", "column_block"]
+        return rows.drop("blocks").join(columns.drop("blocks"), cell).drop("row_block", "column_block")
+
+
+def gather_groups(
     members: DataFrame, keys: list[str], member: str, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """Adds ``blocks`` (cells per side of the group) and ``block`` of the member.
+) -> Groups:
+    """Writes the members once, so that counting and pairing do not derive them
+    again, and finds the large groups. Null keys meet nobody and are left out.
 
-    Only groups above the limit are joined back; there are at most
-    rows / block_rows of them, and Spark broadcasts them when they are few.
+    There are at most rows / block_rows large groups; they are broadcast when
+    their count allows it.
     """
-    large = (
-        members.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("group_rows"))
-        .filter(F.col("group_rows") > block_rows)
-        .select(*keys, F.ceil(F.col("group_rows") / block_rows).cast("int").alias("blocks"))
+    tables = RoundTables(members.sparkSession, "groups")
+    written, _ = tables.write(members.dropna(subset=[*keys, member]))
+    sizes = written.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block_rows)
+    large, taken = tables.write(
+        sizes.select(*keys, F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
     )
-    blocks = F.coalesce("blocks", F.lit(1))
-    return (
-        members.join(large, keys, "left")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
+    if not taken["rows"]:
+        return Groups(written, keys, member, None)
+    return Groups(written, keys, member, sent_whole(large, taken["rows"]))
+
+
+def pairs_of(groups: Groups, payload: tuple[str, ...] = ()) -> DataFrame:
+    """Each unordered pair of members of each group once.
+
+    Gives the keys, ``user_1 < user_2`` and both payloads as ``<name>_1`` and
+    ``<name>_2``.
+    """
+    placed = groups.placed()
+    side = lambda end: placed.select(
+        *groups.keys, "blocks", "block", F.col(groups.member).alias("user" + end),
+        *[F.col(name).alias(name + end) for name in payload],
     )
+    return groups.meet(side("_1"), side("_2")).filter("user_1 < user_2")
 
 
 def pairs_in_group(
@@ -45,30 +96,7 @@ def pairs_in_group(
     payload: tuple[str, ...] = (),
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Each unordered pair of members of each group once.
-
-    Gives the keys, ``user_1 < user_2`` and both payloads as ``<name>_1`` and
-    ``<name>_2``. Null keys meet nobody.
-    """
-    present = members.dropna(subset=[*keys, member])
-    placed = place_in_blocks(present, keys, member, block_rows)
-    cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = placed.select(
-        *keys,
-        F.col(member).alias("user_1"),
-        *[F.col(name).alias(name + "_1") for name in payload],
-        F.col("block").alias("row_block"),
-        cells.alias("column_block"),
-    )
-    right = placed.select(
-        *keys,
-        F.col(member).alias("user_2"),
-        *[F.col(name).alias(name + "_2") for name in payload],
-        F.col("block").alias("column_block"),
-        cells.alias("row_block"),
-    )
-    joined = left.join(right, [*keys, "row_block", "column_block"])
-    return joined.filter("user_1 < user_2").drop("row_block", "column_block")
+    return pairs_of(gather_groups(members, keys, member, block_rows), payload)
 
 
 def both_directions(pairs: DataFrame, *columns: str) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tieweave.operators.pairs import BLOCK_ROWS, both_directions, pairs_in_group, place_in_blocks
+from tieweave.operators.pairs import BLOCK_ROWS, both_directions, gather_groups, pairs_in_group
+from tieweave.session import cut_lineage
 
 # What each kind of shared behaviour adds to the tie strength.
 SHARED_EVENT, SHARED_VIP_EVENT, SHARED_RESERVATION = 1.0, 0.5, 0.75
@@ -26,7 +27,7 @@ def tie_members(
         .agg(F.coalesce(F.max(F.col("ticket_tier") == "vip"), F.lit(False)).alias("vip"))
         .join(events.select(F.col("id").alias("event_id"), "event_date"), "event_id")
         .select(
-            F.lit("event").alias("kind"), "event_id", "user_id", "vip",
+            F.lit(True).alias("at_event"), "event_id", "user_id", "vip",
             F.lit(1).cast("long").alias("times"), "event_date",
         )
     )
@@ -37,7 +38,7 @@ def tie_members(
         .groupBy("event_id", "user_id")
         .agg(F.count(F.lit(1)).alias("times"))
         .select(
-            F.lit("reservation").alias("kind"), "event_id", "user_id", F.lit(False).alias("vip"),
+            F.lit(False).alias("at_event"), "event_id", "user_id", F.lit(False).alias("vip"),
             "times", F.lit(None).cast("date").alias("event_date"),
         )
     )
@@ -45,7 +46,7 @@ def tie_members(
 
 
 def _fold_pairs(pairs: DataFrame) -> DataFrame:
-    at_event = F.col("kind") == "event"
+    at_event = F.col("at_event")
     total = lambda value: F.coalesce(F.sum(value), F.lit(0))
     folded = (
         pairs.groupBy("user_1", "user_2")
@@ -79,7 +80,7 @@ def conoce_a(
 ) -> DataFrame:
     """One tie per pair that shared an event, with what else the pair shared."""
     members = tie_members(attendance, events, reservations)
-    pairs = pairs_in_group(members, ["kind", "event_id"], "user_id", MEMBER_PAYLOAD, block_rows)
+    pairs = pairs_in_group(members, ["at_event", "event_id"], "user_id", MEMBER_PAYLOAD, block_rows)
     return _fold_pairs(pairs)
 
 
@@ -96,24 +97,22 @@ def conoce_a_incremental(
     ``touched`` holds the ``user_id`` of every user whose bookings changed. Only
     the groups such a user is in are paired, touched members against all.
     """
-    keys = ["kind", "event_id"]
+    keys = ["at_event", "event_id"]
     touched = touched.select("user_id").distinct()
     members = tie_members(attendance, events, reservations)
     flagged = members.join(touched.withColumn("touched", F.lit(True)), "user_id", "left")
-    flagged = flagged.withColumn("touched", F.coalesce("touched", F.lit(False)))
+    flagged = cut_lineage(flagged.withColumn("touched", F.coalesce("touched", F.lit(False))), "flagged")
     live_groups = flagged.filter("touched").select(*keys).distinct()
-    placed = place_in_blocks(flagged.join(live_groups, keys, "left_semi"), keys, "user_id", block_rows)
-    cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    side = lambda end: [F.col(name).alias(name + end) for name in ("user_id", *MEMBER_PAYLOAD)]
-    changed = placed.filter("touched").select(
-        *keys, *side("_1"), F.col("block").alias("row_block"), cells.alias("column_block")
-    )
-    everyone = placed.select(
-        *keys, *side("_2"), "touched", F.col("block").alias("column_block"), cells.alias("row_block")
+    live = flagged.join(live_groups, keys, "left_semi")
+    groups = gather_groups(live, keys, "user_id", block_rows)
+    placed = groups.placed()
+    side = lambda rows, end, *more: rows.select(
+        *keys, "blocks", "block", *more,
+        *[F.col(name).alias(name + end) for name in ("user_id", *MEMBER_PAYLOAD)],
     )
     once = ~F.col("touched") | (F.col("user_id_1") < F.col("user_id_2"))
     pairs = (
-        changed.join(everyone, [*keys, "row_block", "column_block"])
+        groups.meet(side(placed.filter("touched"), "_1"), side(placed, "_2", "touched"))
         .filter((F.col("user_id_1") != F.col("user_id_2")) & once)
         .withColumn("user_1", F.least("user_id_1", "user_id_2"))
         .withColumn("user_2", F.greatest("user_id_1", "user_id_2"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tieweave.graph.social import SocialGraph
 from tieweave.graph.walks import bfs_levels
-from tieweave.operators.pairs import BLOCK_ROWS, both_directions, pairs_in_group
+from tieweave.operators.pairs import BLOCK_ROWS, Groups, both_directions, pairs_in_group, pairs_of
 
 TOP = 20
 
@@ -368,22 +368,23 @@ def relative_score(top: DataFrame) -> DataFrame:
 
 def strangers_same_circle(
     graph: SocialGraph, ties: DataFrame, attendance: DataFrame | None = None,
-    limit: int | None = TOP, block_rows: int = BLOCK_ROWS,
+    limit: int | None = TOP,
 ) -> DataFrame:
     """Pairs with mutual neighbours that have no tie and never shared an event.
 
     Leave out ``attendance`` when the ties were derived from it: then a shared
     event is a tie and the second test is the first.
     """
+    circles = Groups(graph.edges.select("src", "dst"), ["src"], "dst", graph.hub_blocks())
     mutual = (
-        pairs_in_group(graph.edges.select("src", "dst"), ["src"], "dst", (), block_rows)
+        pairs_of(circles)
         .groupBy("user_1", "user_2")
         .agg(F.count(F.lit(1)).alias("mutuals"))
     )
     known = ties.select("user_1", "user_2")
     if attendance is not None:
         went = attendance.select("user_id", "event_id").dropna().distinct()
-        met = pairs_in_group(went, ["event_id"], "user_id", (), block_rows)
+        met = pairs_in_group(went, ["event_id"], "user_id")
         known = known.unionByName(met.select("user_1", "user_2"))
     strangers = mutual.join(known, ["user_1", "user_2"], "left_anti")
     return _top(strangers, limit, F.desc("mutuals"), "user_1", "user_2")
