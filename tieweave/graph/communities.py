@@ -18,7 +18,7 @@ from tieweave.session import RoundTables, sent_whole
 
 @dataclass
 class _Level:
-    """The graph of one level: edges partitioned by ``src``, and vertex weights."""
+    """The graph of one level: its edges, its weighted vertices and their number."""
 
     edges: DataFrame
     nodes: DataFrame
@@ -82,8 +82,11 @@ def _move_vertices(
     return state if sum(promised) else None
 
 
-def _by_start(edges: DataFrame) -> DataFrame:
-    return edges.repartition("src").sortWithinPartitions("src").persist()
+def _placed(edges: DataFrame, graph: SocialGraph) -> DataFrame:
+    """Edges kept by their start; with hubs around, spread evenly instead."""
+    if graph.hubs is None:
+        return edges.repartition("src").sortWithinPartitions("src").persist()
+    return edges.repartition("src", "dst").persist()
 
 
 def louvain(
@@ -103,8 +106,9 @@ def louvain(
     members = connected.select("id", key("id").alias("community"))
     two_m, squares = nodes.agg(F.sum("k"), F.sum(F.col("k") * F.col("k"))).first()
     quality = -(squares or 0.0) / (two_m or 1.0) ** 2
-    edges = _by_start(
-        graph.edges.select(key("src").alias("src"), key("dst").alias("dst"), F.lit(1.0).alias("weight"))
+    edges = _placed(
+        graph.edges.select(key("src").alias("src"), key("dst").alias("dst"), F.lit(1.0).alias("weight")),
+        graph,
     )
     level = _Level(edges, nodes, graph.vertex_count)
     for _ in range(max_levels if two_m else 0):
@@ -136,7 +140,7 @@ def louvain(
             )
         )
         level.edges.unpersist()
-        level = _Level(_by_start(folded), sums, spread["rows"])
+        level = _Level(_placed(folded, graph), sums, spread["rows"])
         if reached < quality + least_gain or not between["rows"]:
             break
         quality = reached

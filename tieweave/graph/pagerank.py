@@ -14,7 +14,7 @@ BASE_SCORE = 0.15
 
 
 def pagerank(
-    graph: SocialGraph, rounds: int = ROUNDS, damping: float = DAMPING, cut_every: int = 5
+    graph: SocialGraph, rounds: int = ROUNDS, damping: float = DAMPING, cut_every: int = 4
 ) -> DataFrame:
     """``id`` and ``score`` of every vertex; scores are not scaled to sum to 1.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tieweave.operators import edges, prepare
 from tieweave.operators.ties import social_ties
 from tieweave.schemas import resolve_table_name
+from tieweave.session import cut_lineage
 
 
 @dataclass
@@ -27,16 +28,6 @@ class ProjectionBundle:
     def named(self) -> dict[str, DataFrame]:
         return {part.name: getattr(self, part.name) for part in fields(self)}
 
-    def persist(self) -> "ProjectionBundle":
-        """Keeps the tables that several others are built from."""
-        for df in (self.purchases, self.attendances, self.reservations):
-            df.persist()
-        return self
-
-    def release(self) -> None:
-        for df in self.named().values():
-            df.unpersist()
-
 
 # The columns an absent source table is taken to have.
 ABSENT = {
@@ -58,6 +49,7 @@ ABSENT = {
 def projection_bundle(spark: SparkSession, current: dict[str, DataFrame]) -> ProjectionBundle:
     """Nodes and edges; tables that are missing count as empty ones.
 
+    The three booking edges are written once, as the ties are built from them.
     Deleted events keep their date and deleted users their edges, as in the
     pairing rules.
     """
@@ -69,19 +61,21 @@ def projection_bundle(spark: SparkSession, current: dict[str, DataFrame]) -> Pro
     type_tickets = prepare.prepare_type_tickets(table("core.type_tickets"))
     tickets = prepare.prepare_tickets(table("transactions.tickets"))
     ticket_states = table("catalog.ticket_states")
-    purchases = edges.ticket_purchase_edges(
+    purchases = cut_lineage(edges.ticket_purchase_edges(
         tickets, type_tickets,
         prepare.prepare_order_details(table("transactions.order_details")),
         prepare.prepare_orders(table("transactions.orders")),
         prepare.prepare_payments(table("transactions.payments")),
         ticket_states,
+    ), "purchases")
+    attendances = cut_lineage(
+        edges.attendance_edges(tickets, type_tickets, ticket_states), "attendances"
     )
-    attendances = edges.attendance_edges(tickets, type_tickets, ticket_states)
-    reservations = edges.reservation_edges(
+    reservations = cut_lineage(edges.reservation_edges(
         prepare.prepare_reservations(table("transactions.reservations")), tables,
         prepare.prepare_table_prices(table("core.table_prices")),
         table("catalog.reservation_states"),
-    )
+    ), "reservations")
     return ProjectionBundle(
         users, events, tables, purchases, attendances, reservations,
         social_ties(purchases, attendances, reservations, events),

@@ -298,12 +298,12 @@ SELECT r.user_id, r.event_id, e.name AS event_name, r.score, r.friends_attended,
        round(r.score / (SELECT max(score) FROM r WHERE user_id = '{SOMEBODY}'), 4) AS relative_score
 FROM r JOIN fx_evento e ON e.id = r.event_id WHERE r.user_id = '{SOMEBODY}' AND r.rank <= 10""")
 def event_recommendation(w: Workspace) -> DataFrame:
-    return ask.event_recommendation(w.ties, w.asistio_a, w.evento, w.usuario, SOMEBODY)
+    return ask.event_recommendation(w.graph, w.asistio_a, w.evento, SOMEBODY)
 
 
 @query(RECOMMENDED_SQL + " FROM r JOIN fx_evento e ON e.id = r.event_id WHERE r.rank <= 10")
 def event_recommendation_all(w: Workspace) -> DataFrame:
-    return ask.event_recommendation_all(w.ties, w.asistio_a, w.evento)
+    return ask.event_recommendation_all(w.graph, w.asistio_a, w.evento)
 
 
 @query(f"""

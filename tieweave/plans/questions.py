@@ -313,21 +313,11 @@ def same_vip_table(
 # Recommendations
 
 
-def recommended_events(
-    ties: DataFrame, attendance: DataFrame, events: DataFrame, users: DataFrame | None = None
-) -> DataFrame:
-    """Events that neighbours attended and the user did not, for all ``users``.
-
-    ``score`` sums the tie strengths of the friends that went.
-    """
-    went = attendance.select("user_id", "event_id").dropna().distinct()
-    friends = both_directions(ties, "tie_strength")
-    if users is not None:
-        friends = friends.join(users.select(F.col("id").alias("src")), "src", "left_semi")
+def _recommended(seen: DataFrame, went: DataFrame, events: DataFrame) -> DataFrame:
+    """Adds up what friends attended (``seen``) and drops what the user attended."""
     return (
-        friends.join(went.withColumnRenamed("user_id", "dst"), "dst")
-        .groupBy(F.col("src").alias("user_id"), "event_id")
-        .agg(F.sum("tie_strength").alias("score"), F.count(F.lit(1)).alias("friends_attended"))
+        seen.groupBy("user_id", "event_id")
+        .agg(F.sum("weight").alias("score"), F.count(F.lit(1)).alias("friends_attended"))
         .join(went, ["user_id", "event_id"], "left_anti")
         .join(events.select(F.col("id").alias("event_id"), F.col("name").alias("event_name")), "event_id")
         .select("user_id", "event_id", "event_name", "score", "friends_attended")
@@ -338,25 +328,37 @@ RECOMMENDATION_ORDER = (F.desc, "score"), (F.desc, "friends_attended"), (F.asc,
 
 
 def event_recommendation(
-    ties: DataFrame, attendance: DataFrame, events: DataFrame, users: DataFrame,
-    user_id: str, limit: int = 10,
+    graph: SocialGraph, attendance: DataFrame, events: DataFrame, user_id: str, limit: int = 10
 ) -> DataFrame:
-    """Ranked events for one user, with the score relative to the best."""
+    """Events that one user's neighbours attended and the user did not, ranked.
+
+    ``score`` sums the tie strengths of the friends that went.
+    """
     order = [way(name) for way, name in RECOMMENDATION_ORDER]
-    one = users.filter(F.col("id") == user_id)
-    best = _top(recommended_events(ties, attendance, events, one), limit, *order)
+    went = attendance.select("user_id", "event_id").dropna().distinct()
+    friends = graph.edges.filter(F.col("src") == user_id).select("dst", "weight")
+    seen = friends.join(went.withColumnRenamed("user_id", "dst"), "dst").withColumn(
+        "user_id", F.lit(user_id)
+    )
+    own = went.filter(F.col("user_id") == user_id)
+    best = _top(_recommended(seen, own, events), limit, *order)
     return relative_score(ranked(best, *order))
 
 
 def event_recommendation_all(
-    ties: DataFrame, attendance: DataFrame, events: DataFrame, limit: int = 10
+    graph: SocialGraph, attendance: DataFrame, events: DataFrame, limit: int = 10
 ) -> DataFrame:
-    """The top events of every user at once."""
+    """The top events of every user at once.
+
+    Attendances travel along the edges, which stay in place even around hubs.
+    """
     order = [way(name) for way, name in RECOMMENDATION_ORDER]
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy(*order))
-    return recommended_events(ties, attendance, events).withColumn("rank", place).filter(
-        F.col("rank") <= limit
+    went = attendance.select("user_id", "event_id").dropna().distinct()
+    seen = graph.along_edges(
+        went.withColumnRenamed("user_id", "id"), F.col("to").alias("user_id"), "event_id", "weight"
     )
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(*order))
+    return _recommended(seen, went, events).withColumn("rank", place).filter(F.col("rank") <= limit)
 
 
 def relative_score(top: DataFrame) -> DataFrame:

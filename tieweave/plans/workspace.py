@@ -22,6 +22,21 @@ from tieweave.session import cut_lineage
 
 
 class Workspace(StarViews):
+    """The edge tables are written once as well: questions read them, not the
+    bookings they come from."""
+
+    @cached_property
+    def asistio_a(self) -> DataFrame:
+        return cut_lineage(StarViews.asistio_a.func(self), "asistio_a")
+
+    @cached_property
+    def reservo(self) -> DataFrame:
+        return cut_lineage(StarViews.reservo.func(self), "reservo")
+
+    @cached_property
+    def tickets(self) -> DataFrame:
+        return cut_lineage(StarViews.tickets.func(self), "tickets")
+
     def derive_ties(self) -> DataFrame:
         return conoce_a(self.asistio_a, self.evento, self.reservo)
 
