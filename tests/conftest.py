@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", 4)
+    session = local_session("4", 2)
     session.sparkContext.setLogLevel("OFF")
     yield session
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tieweave.graph.social import SocialGraph
-from tieweave.session import RoundTables, sent_whole
+from tieweave.session import RoundTables, partitions_for, sent_whole
 
 
 @dataclass
@@ -82,11 +82,12 @@ def _move_vertices(
     return state if sum(promised) else None
 
 
-def _placed(edges: DataFrame, graph: SocialGraph) -> DataFrame:
+def _placed(edges: DataFrame, rows: int, graph: SocialGraph) -> DataFrame:
     """Edges kept by their start; with hubs around, spread evenly instead."""
+    parts = partitions_for(edges.sparkSession, rows)
     if graph.hubs is None:
-        return edges.repartition("src").sortWithinPartitions("src").persist()
-    return edges.repartition("src", "dst").persist()
+        return edges.repartition(parts, "src").sortWithinPartitions("src").persist()
+    return edges.repartition(parts, "src", "dst").persist()
 
 
 def louvain(
@@ -108,7 +109,7 @@ def louvain(
     quality = -(squares or 0.0) / (two_m or 1.0) ** 2
     edges = _placed(
         graph.edges.select(key("src").alias("src"), key("dst").alias("dst"), F.lit(1.0).alias("weight")),
-        graph,
+        graph.edge_count, graph,
     )
     level = _Level(edges, nodes, graph.vertex_count)
     for _ in range(max_levels if two_m else 0):
@@ -140,7 +141,7 @@ def louvain(
             )
         )
         level.edges.unpersist()
-        level = _Level(_placed(folded, graph), sums, spread["rows"])
+        level = _Level(_placed(folded, between["rows"], graph), sums, spread["rows"])
         if reached < quality + least_gain or not between["rows"]:
             break
         quality = reached

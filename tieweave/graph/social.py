@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tieweave.operators.pairs import BLOCK_ROWS, both_directions
-from tieweave.session import BROADCAST_ROWS, cut_lineage
+from tieweave.session import BROADCAST_ROWS, cut_lineage, partitions_for
 
 @dataclass
 class SocialGraph:
@@ -93,8 +93,9 @@ def project_graph(
         .persist()
     )
     count, ends, most = vertices.agg(F.count("id"), F.sum("degree"), F.max("degree")).first()
+    parts = partitions_for(users.sparkSession, ends or 0)
     if (most or 0) <= block_rows:
-        edges = directed.repartition("src").sortWithinPartitions("src").persist()
+        edges = directed.repartition(parts, "src").sortWithinPartitions("src").persist()
         return SocialGraph(vertices, edges, None, count, ends or 0)
     hubs = vertices.filter(F.col("degree") > block_rows).select(
         "id", F.ceil(F.col("degree") / block_rows).cast("int").alias("blocks")
@@ -103,7 +104,7 @@ def project_graph(
     edges = (
         directed.join(hubs.withColumnRenamed("id", "src"), "src", "left")
         .select("src", part.alias("part"), "dst", "weight")
-        .repartition("src", "part")
+        .repartition(parts, "src", "part")
         .sortWithinPartitions("src", "part")
         .persist()
     )
