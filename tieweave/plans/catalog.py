@@ -6,6 +6,8 @@ tables (communities, betweenness); those are tested against brute force.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from tieweave.graph.walks import shortest_path
 from tieweave.operators import prepare, ties
 from tieweave.operators.edges import belongs_edges, segment_nodes
 from tieweave.plans import questions as ask
-from tieweave.plans.bundle import projection_bundle, projection_counts
+from tieweave.plans.bundle import PROJECTED_KEYS, projection_bundle, projection_counts
 from tieweave.plans.registry import query
 from tieweave.plans.star_sql import rounded
 from tieweave.plans.workspace import Workspace
@@ -111,12 +113,31 @@ UNION ALL SELECT 'tables', count(*) FROM supplier
 UNION ALL SELECT 'purchases', count(*) FROM fx_purchases
 UNION ALL SELECT 'attendances', count(*) FROM fx_attendances
 UNION ALL SELECT 'reservations', count(*) FROM fx_live_reservations
-UNION ALL SELECT 'social_ties', count(*) FROM c""", name="projection_bundle")
-def _projection(w: Workspace) -> DataFrame:
-    """Builds every part of the projection and reports the size of each."""
+UNION ALL SELECT 'social_ties', count(*) FROM c""", name="projection_counts")
+def _projection_counts(w: Workspace) -> DataFrame:
     return projection_counts(projection_bundle(w.spark, w.source_tables))
 
 
+@query("""
+WITH c AS (""" + SOCIAL_SQL + """)
+SELECT 'users' AS part, CAST(c_custkey AS STRING) AS key FROM customer
+UNION ALL SELECT 'events', CAST(p_partkey AS STRING) FROM part
+UNION ALL SELECT 'tables', CAST(s_suppkey AS STRING) FROM supplier
+UNION ALL SELECT 'purchases', CAST(ticket_id AS STRING) FROM fx_purchases
+UNION ALL SELECT 'attendances', CAST(ticket_id AS STRING) FROM fx_attendances
+UNION ALL SELECT 'reservations', CAST(reservation_id AS STRING) FROM fx_live_reservations
+UNION ALL SELECT 'social_ties', CAST(user_1_id AS STRING) || '-' || CAST(user_2_id AS STRING) FROM c
+UNION ALL SELECT DISTINCT 'segments', c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL
+UNION ALL SELECT 'belongs', CAST(c_custkey AS STRING) || '-' || c_mktsegment FROM customer
+WHERE c_mktsegment IS NOT NULL""", name="projection_bundle")
+def _projection(w: Workspace) -> DataFrame:
+    """The key of every node and edge of the projection."""
+    parts = projection_bundle(w.spark, w.source_tables).named()
+    key = lambda name: F.concat_ws("-", *PROJECTED_KEYS[name])
+    keyed = [df.select(F.lit(name).alias("part"), key(name).alias("key")) for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, keyed)
+
+
 # Counts, listings and ties
 
 
@@ -440,3 +461,56 @@ def vip_users(w: Workspace) -> DataFrame:
 @query()
 def multi_community_users(w: Workspace) -> DataFrame:
     return ask.multi_community_users(w.graph, w.communities)
+
+
+# The same community questions on a given grouping, which SQL can follow
+
+
+SEGMENT_SQL = "SELECT id, rfm_seed_segment AS community FROM fx_usuario"
+
+
+def _segments(w: Workspace) -> DataFrame:
+    return w.usuario.select("id", F.col("rfm_seed_segment").alias("community"))
+
+
+@query(f"""
+WITH c AS ({SEGMENT_SQL}), z AS (SELECT community, count(*) AS size FROM c GROUP BY community),
+s AS (SELECT community, string_agg(id, ',' ORDER BY id) AS sample_users
+      FROM (SELECT *, row_number() OVER (PARTITION BY community ORDER BY id) AS rn FROM c) t
+      WHERE rn <= 10 GROUP BY community)
+SELECT z.community, z.size, s.sample_users, (SELECT count(*) FROM z) AS total_communities,
+       CAST(0 AS BIGINT) AS niches_count, CAST(0 AS BIGINT) AS niches_total_members
+FROM z JOIN s ON s.community = z.community""")
+def community_summary_by_segment(w: Workspace) -> DataFrame:
+    return ask.community_summary(_segments(w)).withColumn(
+        "sample_users", F.array_join("sample_users", ",")
+    )
+
+
+@query(f"""
+WITH z AS (SELECT community, count(*) AS size FROM ({SEGMENT_SQL}) c GROUP BY community)
+SELECT 'Grupo ' || community AS label, size, false AS is_niche,
+       CAST(row_number() OVER (ORDER BY size DESC, community) AS INT) AS rank
+FROM z ORDER BY size DESC, community LIMIT 3""")
+def community_tiles_by_segment(w: Workspace) -> DataFrame:
+    return ask.community_tiles(_segments(w))
+
+
+@query(f"""
+WITH c AS ({SEGMENT_SQL}),
+v AS (SELECT user_id, count(*) FILTER (WHERE ticket_tier = 'vip') AS vip, count(*) AS n FROM fx_asistio_a GROUP BY user_id)
+SELECT c.community, round(avg(CAST(v.vip AS DOUBLE) / v.n), 3) AS avg_vip_ratio, count(*) AS size
+FROM v JOIN c ON c.id = v.user_id WHERE 10 * v.vip >= 8 * v.n GROUP BY c.community""")
+def vip_subgroups_by_segment(w: Workspace) -> DataFrame:
+    return ask.vip_subgroups(w.asistio_a, _segments(w))
+
+
+@query(f"""
+WITH c AS ({SEGMENT_SQL})
+SELECT a.id AS user_id, a.community, count(DISTINCT b.community) AS total_communities_touched,
+       count(DISTINCT b.community) FILTER (WHERE b.community <> a.community) AS external_communities_touched
+FROM fx_edges g JOIN c a ON a.id = g.src JOIN c b ON b.id = g.dst
+GROUP BY a.id, a.community
+ORDER BY external_communities_touched DESC, total_communities_touched DESC, user_id LIMIT 20""")
+def multi_community_users_by_segment(w: Workspace) -> DataFrame:
+    return ask.multi_community_users(w.graph, _segments(w))

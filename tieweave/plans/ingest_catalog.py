@@ -562,21 +562,44 @@ def scan_cdc_parquet(w: Workspace) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
-@query(f"""SELECT uri, CASE WHEN EXISTS (SELECT 1 FROM orders
-         WHERE o_orderpriority = '1-URGENT' AND m.uri = 's3://feed/data/transactions/orders/' || CAST(o_custkey AS STRING) || '.parquet')
-       THEN 'done' ELSE 'open' END AS status FROM ({MANIFEST_SQL}) m""", name="file_ledger")
-def _file_ledger(w: Workspace) -> DataFrame:
-    """Marks the files announced as JSON, keeps recent entries, and sorts all files."""
+def _ledger_with_json_files(w: Workspace) -> tuple[FileLedger, DataFrame]:
+    """A ledger in which the files announced as JSON are marked, and all files."""
     ledger = FileLedger(w.spark, scratch_path(w.spark, "ledger"))
     messages = notifications(w)
     ledger.mark_processed(files.cdc_manifest(messages.filter("message LIKE '{%'")))
-    ledger.retain(30)
-    manifest = files.cdc_manifest(messages)
+    return ledger, files.cdc_manifest(messages)
+
+
+DONE_SQL = """
+SELECT DISTINCT 's3://feed/data/transactions/orders/' || CAST(o_custkey AS STRING) || '.parquet' AS uri
+FROM orders WHERE o_orderpriority = '1-URGENT'"""
+
+
+@query(f"SELECT uri, true AS dated FROM ({DONE_SQL}) d")
+def mark_processed(w: Workspace) -> DataFrame:
+    ledger, _ = _ledger_with_json_files(w)
+    return ledger.entries().select("uri", F.col("processed_at").isNotNull().alias("dated"))
+
+
+@query(f"""SELECT uri, CASE WHEN uri IN (SELECT uri FROM ({DONE_SQL}) d) THEN 'done' ELSE 'open' END AS status
+FROM ({MANIFEST_SQL}) m""")
+def already_processed(w: Workspace) -> DataFrame:
+    ledger, manifest = _ledger_with_json_files(w)
     done = ledger.already_processed(manifest).withColumn("status", F.lit("done"))
     left = files.pending_files(manifest, ledger).withColumn("status", F.lit("open"))
     return done.unionByName(left)
 
 
+@query(DONE_SQL)
+def ledger_retention(w: Workspace) -> DataFrame:
+    """All other files are in the ledger too, but for longer than entries are kept."""
+    ledger, manifest = _ledger_with_json_files(w)
+    old = F.current_timestamp() - F.make_dt_interval(F.lit(31))
+    ledger.mark_processed(ledger.not_processed(manifest), old)
+    ledger.retain(30)
+    return ledger.entries().select("uri")
+
+
 # Sinks
 
 
@@ -666,6 +689,40 @@ def stream_job(w: Workspace) -> DataFrame:
     return state.unpacked("core.users", {"id": "bigint", "k": "bigint"})
 
 
+@query(CURRENT_SQL)
+def late_change(w: Workspace) -> DataFrame:
+    """The newer half of the change log is merged before the older half."""
+    state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
+    middle = w.changelog.agg(F.max("uuid") / 2).scalar()
+    whole = envelopes(w).withColumn("late", F.col("uuid").cast("bigint") < middle)
+    for batch, late in enumerate((False, True)):
+        state.merge(whole.filter(F.col("late") == late).drop("late"), batch)
+    return state.unpacked("core.users", {"id": "bigint", "k": "bigint"})
+
+
+@query(f"SELECT id AS user_id, source_deleted FROM ({CURRENT_SQL}) c")
+def project_after_batch(w: Workspace) -> DataFrame:
+    """The projected users after the change log came in as one batch."""
+    state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
+    sink = scratch_path(w.spark, "projection")
+    source = stream.scan_envelope_stream(w.spark, _envelope_files(w))
+    stream.stream_job(
+        source, state, scratch_path(w.spark, "checkpoint"), scratch_path(w.spark, "log"), None,
+        stream.project_after_batch(state, sink),
+    ).awaitTermination()
+    users = keyed.KeyedTable(w.spark, f"{sink}/users", ("user_id",)).current()
+    return users.select("user_id", "source_deleted")
+
+
+@query("SELECT 'done' AS status, count(DISTINCT pk_id) AS changed_keys FROM fx_changelog")
+def batch_log(w: Workspace) -> DataFrame:
+    state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
+    log = scratch_path(w.spark, "log")
+    source = stream.scan_envelope_stream(w.spark, _envelope_files(w))
+    stream.stream_job(source, state, scratch_path(w.spark, "checkpoint"), log, None).awaitTermination()
+    return stream.batch_log(w.spark, log).groupBy("status").agg(F.sum("changed_keys").alias("changed_keys"))
+
+
 @query("SELECT CAST(uuid AS STRING) AS uuid, pk_id AS id FROM fx_changelog")
 def uuid_dedupe_bounded(w: Workspace) -> DataFrame:
     """Two deliveries of every envelope in one stream, written once each."""
