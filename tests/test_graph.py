@@ -69,8 +69,11 @@ def brute_betweenness(names, near, weighted):
     return {name: value / 2 for name, value in score.items()}
 
 
-@pytest.mark.parametrize("weighted, block_rows", [(True, 2000), (True, 3), (False, 2000)])
-def test_betweenness_matches_brute_force(spark, weighted, block_rows):
+@pytest.mark.parametrize(
+    "weighted, block_rows, rows", [(True, 2000, 1000), (True, 3, 0), (False, 2000, 1000)]
+)
+def test_betweenness_matches_brute_force(spark, monkeypatch, weighted, block_rows, rows):
+    monkeypatch.setattr("tieweave.graph.betweenness.BROADCAST_ROWS", rows)
     names, ties = random_ties(18, 0.22, seed=5)
     graph, _, _ = make_graph(spark, names, ties, block_rows)
     expected = brute_betweenness(names, adjacency(ties), weighted)
@@ -173,11 +176,11 @@ def plain_modularity(ties, label):
     return inside / m - sum((k / (2 * m)) ** 2 for k in totals.values())
 
 
-@pytest.mark.parametrize("rows", [1_000_000, 0])
-def test_louvain_finds_circles(spark, monkeypatch, rows):
+@pytest.mark.parametrize("rows, block_rows", [(1_000_000, 2000), (0, 2)])
+def test_louvain_finds_circles(spark, monkeypatch, rows, block_rows):
     monkeypatch.setattr("tieweave.session.BROADCAST_ROWS", rows)
     names, ties = circles(4, 6)
-    graph, _, _ = make_graph(spark, [*names, "loner"], ties)
+    graph, _, _ = make_graph(spark, [*names, "loner"], ties, block_rows)
     found = {row["id"]: row["community"] for row in louvain(graph).collect()}
     assert found["loner"] == "loner"
     assert {name: found[name] for name in names} == {name: name[0] + "0" for name in names}
