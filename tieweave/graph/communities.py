@@ -31,37 +31,38 @@ def _one_round(level: _Level, state: DataFrame, two_m: float, half: int, seed: i
     ``gained`` is what each move adds to modularity on its own. Edges stay where
     they are; a small state is broadcast to them, a large one is joined.
     """
-    totals = state.groupBy("community").agg(
-        F.sum("k").alias("total"), F.count(F.lit(1)).alias("size")
-    )
-    placed = sent_whole(state.select("id", "k", "community"), level.rows)
+    half_of = f"pmod(xxhash64(src, {seed}), 2) = {half}"
+    gain = f"links - k * (target_total - IF(own, k, 0D)) / {two_m!r}D"
+    allowed = "own OR target_size > 1 OR size > 1 OR target < community"
+    totals = state.groupBy("community").agg(F.sum("k").alias("total"), F.count("id").alias("size"))
     totals = sent_whole(totals, level.rows)
-    turn = F.pmod(F.xxhash64("src", F.lit(seed)), F.lit(2)) == half
-    links = (
-        level.edges.filter(turn)
-        .join(placed, F.col("dst") == F.col("id"))
-        .groupBy("src", F.col("community").alias("to"))
+    placed = sent_whole(state.select("id", "k", "community"), level.rows)
+    options = (
+        level.edges.filter(half_of)
+        .join(placed.toDF("dst", "far_k", "target"), "dst")
+        .groupBy("src", "target")
         .agg(F.sum("weight").alias("links"))
-        .join(totals.toDF("to", "to_total", "to_size"), "to")
-        .join(placed, F.col("src") == F.col("id"))
+        .join(totals.toDF("target", "target_total", "target_size"), "target")
+        .join(placed.toDF("src", "k", "community"), "src")
         .join(totals, "community")
+        .selectExpr("*", "target = community AS own")
+        .selectExpr(
+            "src AS id", "target", "own", f"{gain} AS gain", f"{allowed} AS allowed",
+            f"-k * (total - k) / {two_m!r}D AS alone",
+        )
     )
-    own = F.col("to") == F.col("community")
-    expected = F.col("k") * (F.col("to_total") - F.when(own, F.col("k")).otherwise(0.0)) / two_m
-    gain = F.col("links") - expected
-    allowed = own | (F.col("to_size") > 1) | (F.col("size") > 1) | (F.col("to") < F.col("community"))
-    stay = F.coalesce(F.max(F.when(own, gain)), F.first(-F.col("k") * (F.col("total") - F.col("k")) / two_m))
-    best = F.min(F.when(allowed, F.struct((-gain).alias("loss"), F.col("to"))))
     moves = (
-        links.groupBy("id")
-        .agg(best.alias("best"), stay.alias("stay"))
-        .select("id", F.col("best.to").alias("to"), (-F.col("best.loss") - F.col("stay")).alias("rise"))
+        options.groupBy("id")
+        .agg(
+            F.expr("min(IF(allowed, struct(-gain AS loss, target), null)) AS best"),
+            F.expr("coalesce(max(IF(own, gain, null)), first(alone)) AS stay"),
+        )
+        .selectExpr("id", "best.target AS target", "-best.loss - stay AS rise")
         .filter("rise > 1e-9")
     )
-    return state.join(sent_whole(moves, level.rows), "id", "left").select(
-        "id", "k",
-        F.coalesce("to", "community").alias("community"),
-        (2 * F.coalesce("rise", F.lit(0.0)) / two_m).alias("gained"),
+    return state.join(sent_whole(moves, level.rows), "id", "left").selectExpr(
+        "id", "k", "coalesce(target, community) AS community",
+        f"2 * coalesce(rise, 0D) / {two_m!r}D AS gained",
     )
 
 
