@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tieweave.llm import packing, simhash_trie
+from tieweave.llm import decontaminate, packing, secrets, simhash_prints, simhash_trie
 
 QUERIES = {
+    "op2_document_fingerprints": simhash_prints.op2_document_fingerprints,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_simhash_near_dedup": simhash_trie.op5_simhash_near_dedup,
+    "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_secret_scans": secrets.op8_secret_scans,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.OP7_SQL}
