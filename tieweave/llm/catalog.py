@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from tieweave.llm import decontaminate, packing, secrets, simhash_prints, simhash_trie
+from tieweave.llm import (
+    decontaminate,
+    packing,
+    quality,
+    secrets,
+    simhash_prints,
+    simhash_trie,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
     "op2_document_fingerprints": simhash_prints.op2_document_fingerprints,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_simhash_near_dedup": simhash_trie.op5_simhash_near_dedup,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_secret_scans": secrets.op8_secret_scans,
+    "op9_token_counts": token_counts.op9_token_counts,
 }
 ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.OP7_SQL}
