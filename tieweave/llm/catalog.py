@@ -6,14 +6,17 @@ from tieweave.llm import (
     decontaminate,
     packing,
     quality,
+    relative_parsing,
     secrets,
     simhash_prints,
     simhash_trie,
+    suffix_repeats,
     token_counts,
     toxicity,
 )
 
 QUERIES = {
+    "op1_suffix_array_dedup": suffix_repeats.op1_suffix_array_dedup,
     "op2_document_fingerprints": simhash_prints.op2_document_fingerprints,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_quality_classifier": quality.op4_quality_classifier,
@@ -22,5 +25,6 @@ QUERIES = {
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_secret_scans": secrets.op8_secret_scans,
     "op9_token_counts": token_counts.op9_token_counts,
+    "op10_substring_dedup": relative_parsing.op10_substring_dedup,
 }
 ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.OP7_SQL}
