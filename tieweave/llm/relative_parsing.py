@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tieweave.llm.stretches import (
-    Repeat, content, numbered, read_documents, removed, repeated_spans, running, with_spans,
+    Repeat, content, numbered, removed, repeated_spans, running, with_spans,
 )
 from tieweave.llm.suffix_repeats import SYMBOLS
-from tieweave.llm.tables import per_batch, schema_of, table, text_bytes
+from tieweave.llm.tables import documents, per_batch, schema_of, table, text_bytes
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 WINDOW, GRAM = 50, 6
@@ -91,7 +91,7 @@ def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     figures each; rows of one id with different texts follow each other by MD5, and
     null ids come last. An empty table gives no rows.
     """
-    docs = read_documents(docs)
+    docs = documents(docs)
     rows, numbers = numbered(docs)
     rule = word_rule(window, min(GRAM, max(1, window // 4)))
     spans = repeated_spans(rows, rule, partial(spans_of, window=window))

@@ -56,16 +56,18 @@ def fingerprint(text: bytes, width: int, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, simhash) of whole texts; only A-Z are lower-cased, null is empty."""
+    """(doc_id, mark, simhash) of whole texts; only A-Z are lower-cased, null is empty.
+    ``mark`` tells rows of one id with different texts apart."""
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             made = [fingerprint(text, width) for text in text_bytes(batch["text"])]
-            return {"doc_id": batch["doc_id"], "simhash": np.array(made, np.int64)}
+            return {"doc_id": batch["doc_id"], "mark": batch["mark"], "simhash": np.array(made, np.int64)}
 
         return work
 
-    return per_batch(documents(docs), make, schema_of(docs, simhash=T.LongType()))
+    marked = documents(docs).withColumn("mark", F.md5("text"))
+    return per_batch(marked, make, schema_of(docs, mark=T.StringType(), simhash=T.LongType()))
 
 
 def block_masks(distance: int) -> list[int]:
@@ -222,6 +224,15 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return dealt.mapInArrow(join, schema).distinct()
 
 
+def grouped(docs: DataFrame, width: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """The written fingerprints, and (simhash, root): the group of each of them."""
+    prints, _ = RoundTables(docs.sparkSession, "simhash").write(fingerprints(docs, width))
+    roots = components(links(prints, distance))
+    all_prints = prints.select("simhash").distinct()
+    groups = all_prints.join(roots, F.col("simhash") == F.col("node"), "left")
+    return prints, groups.select("simhash", F.coalesce("root", "simhash").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -230,19 +241,28 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3) -> DataF
     has its row, but the component's id is the least id that is not null (null if
     there is none). An empty table gives no rows.
     """
-    rounds = RoundTables(docs.sparkSession, "simhash")
-    prints, _ = rounds.write(fingerprints(docs, width))
-    roots = components(links(prints, distance))
-    heads = prints.groupBy("simhash").agg(F.min("doc_id").alias("head"))
-    nodes = heads.join(roots, F.col("simhash") == F.col("node"), "left").select(
-        "simhash", "head", F.coalesce("root", "simhash").alias("root")
-    )
-    least = nodes.groupBy("root").agg(F.min("head").alias("component_id"))
-    named = nodes.join(least, "root").select("simhash", "component_id")
+    prints, groups = grouped(docs, width, distance)
+    heads = prints.groupBy("simhash").agg(F.min("doc_id").alias("head")).join(groups, "simhash")
+    least = heads.groupBy("root").agg(F.min("head").alias("component_id"))
+    named = groups.join(least, "root").select("simhash", "component_id")
     return prints.join(named, "simhash").select(
         "doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
+    """The row with the least id of every group of near duplicates, all columns kept;
+    a null id stays only if the group has no other, and of rows of one id the one
+    with the least MD5 of its text."""
+    prints, groups = grouped(docs, width, distance)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    heads = prints.groupBy("simhash").agg(first).join(groups, "simhash")
+    chosen = heads.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.mark")
+    marked = docs.withColumn("__mark", F.md5(F.coalesce(docs["text"], F.lit(""))))
+    same = marked["doc_id"].eqNullSafe(chosen["doc_id"]) & (marked["__mark"] == chosen["mark"])
+    kept = marked.join(chosen, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", "__mark"]).select(*docs.columns)
+
+
 def op5_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return near_duplicates(table(spark, directory, "documents"), width=3, distance=3)

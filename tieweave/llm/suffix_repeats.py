@@ -17,14 +17,13 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tieweave.llm.stretches import (
-    Repeat, content, merged, mixed, numbered, pieces, read_documents, removed, repeated_spans,
+    Repeat, content, merged, mixed, numbered, removed, repeated_spans,
     running, with_spans,
 )
-from tieweave.llm.tables import per_batch, schema_of, table, text_bytes
+from tieweave.llm.tables import documents, per_batch, schema_of, table, text_bytes
 
 LENGTH, GRAM = 100, 24
 #: Bytes as 64-bit symbols.
@@ -180,7 +179,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     figures each; rows of one id with different texts follow each other by MD5, and
     null ids come last. An empty table gives no rows.
     """
-    docs = read_documents(docs)
+    docs = documents(docs)
     spans, numbers = removable(docs, length)
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = schema_of(
