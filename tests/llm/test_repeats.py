@@ -67,6 +67,8 @@ def copies(seed, n=30):
             words += part
         if draw.random() < 0.3:
             words += [draw.choice(["la", "ab cd", "x"])] * draw.randint(1, 300)
+        for _ in range(draw.randint(0, 3)):
+            words += [prose(draw.randint(0, 9**9), 1)] * draw.randint(2, 40) + prose(draw.randint(0, 9**9), 9).split()
         rows.append((500 + draw.randrange(n), draw.choice([" ", "  ", "\n"]).join(words)))
     return rows
 
@@ -117,12 +119,26 @@ def test_suffixes_are_in_order_with_their_common_prefixes(seed):
         assert n == wanted and all(suffixes[o][:size] == word for o in others)
 
 
+@pytest.mark.parametrize("window,gram", [(100, 24), (10, 3), (5, 5), (9, 2)])
+def test_least_grams_and_their_repeats(window, gram):
+    draw = np.random.default_rng(window)
+    symbols = suffix_repeats.SYMBOLS[draw.integers(0, 3, 400)]
+    least, twice = stretches.least_grams(symbols, window, gram, 5)
+    sums = stretches.running(symbols)
+    at = np.arange(len(symbols) - gram + 1)
+    grams = stretches.mixed(stretches.content(sums, at, at + gram), 5)
+    assert len(least) == len(twice) == len(symbols) - window + 1
+    for k in range(len(least)):
+        mine = grams[k : k + window - gram + 1]
+        assert least[k] == mine.min() and twice[k] == ((mine == mine.min()).sum() > 1)
+
+
 def test_slices_of_a_long_text_change_nothing(monkeypatch):
     monkeypatch.setattr(stretches, "SLICE", 150)
     rule = suffix_repeats.byte_rule()
     text = prose(9, 300).encode()
     symbols = rule.symbols(text)
-    least = stretches.least_grams(symbols, rule.window, rule.gram, stretches._SEEDS[0])
+    least, _ = stretches.least_grams(symbols, rule.window, rule.gram, stretches._SEEDS[0])
     rows, _ = stretches.stretches_of([(1, 0, symbols)], rule)
     covered = np.concatenate([np.full(n, k) for k, n in zip(rows[0], rows[4], strict=True)])
     assert np.array_equal(covered, least)

@@ -27,4 +27,8 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_substring_dedup": relative_parsing.op10_substring_dedup,
 }
-ORACLES: dict[str, str] = {"op7_decontamination": decontaminate.OP7_SQL}
+ORACLES: dict[str, str] = {
+    "op1_suffix_array_dedup": suffix_repeats.OP1_SQL,
+    "op7_decontamination": decontaminate.OP7_SQL,
+    "op10_substring_dedup": relative_parsing.OP10_SQL,
+}

@@ -145,16 +145,16 @@ b AS (
   FROM benchmark),
 items AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
 windows AS (
-  SELECT DISTINCT item_id, n, list_slice(w, at, at + n - 1) AS win
-  FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS at FROM items)),
+  SELECT DISTINCT item_id, n, list_slice(w, pos, pos + n - 1) AS win
+  FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS pos FROM items)),
 sizes AS (SELECT DISTINCT n FROM windows),
 places AS (
-  SELECT doc_id, n, at, list_slice(w, at, at + n - 1) AS win
-  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS at FROM d, sizes WHERE len(w) >= n)),
-hits AS (SELECT DISTINCT doc_id, at, n, item_id FROM places JOIN windows USING (n, win)),
+  SELECT doc_id, n, pos, list_slice(w, pos, pos + n - 1) AS win
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS pos FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT doc_id, pos, n, item_id FROM places JOIN windows USING (n, win)),
 covered AS (
   SELECT doc_id, count(DISTINCT word) AS n_hit
-  FROM (SELECT doc_id, unnest(range(at, at + n)) AS word FROM hits) GROUP BY doc_id),
+  FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY doc_id),
 listed AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)

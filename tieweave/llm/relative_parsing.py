@@ -124,3 +124,24 @@ def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return report(table(spark, directory, "documents")).drop("spans", "kept")
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, pos, md5(array_to_string(list_slice(w, pos, pos + 49), ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d WHERE len(w) >= 50)),
+firsts AS (SELECT k, min(doc_id) AS first_doc FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 50)) AS word
+  FROM windows JOIN firsts USING (k) WHERE first_doc < doc_id),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS word, unnest(w) AS t FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(t, ' ' ORDER BY word) AS t
+  FROM words ANTI JOIN gone USING (doc_id, word) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+  CAST(len(d.w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

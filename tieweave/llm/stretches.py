@@ -85,18 +85,33 @@ def content(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray
     return mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * np.uint64(_SEEDS[1]))
 
 
-def least_grams(symbols: np.ndarray, window: int, gram: int, seed: int) -> np.ndarray:
-    """Least gram hash of the window that begins at each place."""
+def least_grams(symbols: np.ndarray, window: int, gram: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least gram hash of the window that begins at each place, and whether the window
+    has that gram more than once."""
     sums = running(symbols)
     starts = np.arange(len(symbols) - gram + 1)
     least = mixed(content(sums, starts, starts + gram), seed)
-    grams, width = window - gram + 1, 1
-    while width * 2 <= grams:
-        least = np.minimum(least[:-width], least[width:])
+    twice = np.zeros(len(least), bool)
+    grams = window - gram + 1
+    whole = None
+    width = 1
+    # Windows are put together of neighbouring parts of 1, 2, 4 ... grams.
+    while True:
+        if grams & width:
+            whole = (least, twice, width) if whole is None else (*_beside(*whole, least, twice), whole[2] + width)
+        if width * 2 > grams:
+            n = len(symbols) - window + 1
+            return whole[0][:n], whole[1][:n]
+        least, twice = _beside(least, twice, width, least, twice)
         width *= 2
-    if width < grams:
-        least = np.minimum(least[: len(least) - (grams - width)], least[grams - width :])
-    return least
+
+
+def _beside(first: np.ndarray, twice: np.ndarray, width: int, second: np.ndarray, again: np.ndarray):
+    """Least and repeats of each part of ``width`` grams and the part right after it."""
+    after, again = second[width:], again[width:]
+    n = min(len(first), len(after))
+    first, twice, after, again = first[:n], twice[:n], after[:n], again[:n]
+    return np.minimum(first, after), (twice & (first <= after)) | (again & (after <= first)) | (first == after)
 
 
 def _runs(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +148,7 @@ def stretches_of(parts: list[tuple[int, int, np.ndarray]], rule: Repeat):
     if not counts.any():
         none = np.zeros(0, np.int64)
         return [none.astype(np.uint64)] * 2 + [none] * 3, [none] * 3
-    least = least_grams(symbols, rule.window, rule.gram, _SEEDS[0])
+    least, twice = least_grams(symbols, rule.window, rule.gram, _SEEDS[0])
     part = np.repeat(np.arange(len(parts)), counts)
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     at = within + (ends - sizes)[part]
@@ -147,10 +162,13 @@ def stretches_of(parts: list[tuple[int, int, np.ndarray]], rule: Repeat):
 
     spans = [np.zeros(0, np.int64)] * 3
     first, n = _runs(breaks())
-    if rule.same_document and (n > rule.window).any():
-        # A key that outlives its gram comes back: text that repeats itself at once.
-        # All but the first of its equal windows are repeats.
-        long = np.repeat(n > rule.window, n)
+    # Equal windows lie in one stretch only if some window has its gram twice, or if
+    # the stretch outlives its gram.
+    lively = (n > rule.window - rule.gram + 1) | (np.add.reduceat(twice[at].astype(np.int64), first) > 0)
+    if rule.same_document and lively.any():
+        # Text that repeats itself at once: all but the first of its equal windows are
+        # repeats.
+        long = np.repeat(lively, n)
         chosen = np.flatnonzero(long)
         same = content(sums, at[chosen], at[chosen] + rule.window)
         order = np.lexsort((at[chosen], same, docs[part[chosen]]))
@@ -164,8 +182,10 @@ def stretches_of(parts: list[tuple[int, int, np.ndarray]], rule: Repeat):
         first, n = _runs(breaks())
     else:
         # Otherwise long stretches are cut; they meet under their key all the same.
-        cut = np.concatenate([np.arange(0, size, 4 * rule.window) + a for a, size in zip(first, n, strict=True)]) if (n > 4 * rule.window).any() else first
-        first, n = cut, np.diff(np.append(cut, len(at)))
+        most = 4 * rule.window
+        if (n > most).any():
+            first = np.concatenate([np.arange(a, a + size, most) for a, size in zip(first, n, strict=True)])
+            n = np.diff(np.append(first, len(at)))
     place = at[first]
     hashes = content(sums, place, place + n + rule.window - 1)
     owner = part[first]
@@ -319,7 +339,7 @@ def pieces(docs: DataFrame, wanted: DataFrame, rule: Repeat, hot_pieces: int) ->
         part = symbols[start : start + size + rule.window - 1]
         whole = np.full(size, key).astype(np.int64).view(np.uint64)
         for seed in _SEEDS[1:]:
-            whole = mixed(whole * np.uint64(_BASE) + least_grams(part, rule.window, rule.gram, seed))
+            whole = mixed(whole * np.uint64(_BASE) + least_grams(part, rule.window, rule.gram, seed)[0])
         first, n = _runs(np.concatenate([[True], whole[1:] != whole[:-1]]))
         keys = whole.view(np.int64)[first]
         yield from zip(keys.tolist(), (start + first).tolist(), n.tolist(), strict=True)

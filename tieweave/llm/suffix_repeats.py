@@ -91,7 +91,7 @@ class SuffixArray:
             apart = here[1:] == here[:-1]
             differ = word[1:] ^ word[:-1]
             zeros = 8 - (np.frexp(differ.astype(np.float64))[1] + 7) // 8
-            common = np.where(differ == 0, 8, zeros)
+            common = np.where(differ == 0, 8, np.maximum(zeros, 0))
             # Conversion to a float may round up to the next byte; look at it again.
             top = np.minimum(common, 7).astype(np.uint64) * np.uint64(8)
             byte_differs = ((differ >> (np.uint64(56) - top)) & np.uint64(255)) > 0
@@ -210,3 +210,33 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def op1_suffix_array_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return report(table(spark, directory, "documents")).drop("spans", "kept")
+
+
+OP1_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, pos, md5(substr(h, 2 * pos + 1, 200)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS pos FROM d WHERE len(h) >= 200)),
+gone AS (
+  SELECT doc_id, pos FROM windows
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, pos) > 1),
+marked AS (
+  SELECT doc_id, pos, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100
+    THEN 0 ELSE 1 END AS fresh FROM gone),
+spans AS (
+  SELECT doc_id, min(pos) AS a, max(pos) + 100 AS b
+  FROM (SELECT doc_id, pos, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked)
+  GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b FROM spans
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(CASE WHEN gaps.b IS NULL THEN substr(h, 2 * gaps.a + 1)
+    ELSE substr(h, 2 * gaps.a + 1, 2 * (gaps.b - gaps.a)) END, '' ORDER BY gaps.a) AS h
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
