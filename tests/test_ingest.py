@@ -214,11 +214,30 @@ def test_composite_key_map_images_and_bad_images(spark):
     current = changes.reduce_streams_to_current({"table_prices": log})["core.table_prices"].collect()
     assert [(r["table_id"], r["event_id"], r["image"]["price"]) for r in current] == [("1", "2", "4")]
     broken = spark.createDataFrame([("u", "2026-01-01", "{}", "[1]", None, None, "a")], LOG)
-    assert changes.bad_images(broken).count() == 1
+    with pytest.raises(Exception, match="unreadable image"):
+        changes.reduce_cdc_to_current(broken, "users").collect()
     with pytest.raises(ValueError):
         changes.reduce_cdc_to_current(log, "unknown.table")
 
 
+def test_unsound_changes_are_set_aside_or_stop_the_job(spark):
+    rows = [
+        ("i", "2026-01-01", None, '{"id": 1, "v": "a"}', None, None, "a"),
+        ("u", "2026-01-02", None, "[1]", None, None, "b"),
+        ("u", "2026-01-03", None, '{"v": "c"}', None, None, "c"),
+        ("u", "2026-01-04", None, '{"v": "d"}', None, None, "d"),
+    ]
+    log = spark.createDataFrame(rows, LOG)
+    current, rejected = changes.reduce_cdc_with_rejected(log, "users")
+    assert [r["id"] for r in current.collect()] == ["1"]
+    assert sorted((r["uuid"], r["problem"]) for r in rejected.collect()) == [
+        ("b", "unreadable image"), ("c", "no key value"), ("d", "no key value")
+    ]
+    assert rejected.columns == [*log.columns, "problem"]
+    with pytest.raises(Exception, match="change with"):
+        changes.reduce_cdc_to_current(log, "users").collect()
+
+
 def envelope(spark, *rows):
     import datetime as dt
 
@@ -357,6 +376,13 @@ def test_export_has_null_for_missing_and_plain_values(spark, snapshot):
     assert json.loads(export.export_records(df).first()["record"]) == {
         "a": None, "b": 1.5, "c": "2026-01-02", "d": "2026-01-02T03:04:05"
     }
+    deep = spark.sql("""SELECT timestamp_ntz'2026-01-02 01:02:03.456789' AS t, array(1.5D, double('NaN')) AS a,
+        named_struct('d', date'2026-01-02', 'n', array(named_struct('x', float('NaN'), 'y', 2.50BD))) AS s,
+        map('k', timestamp_ntz'2026-01-02 00:00:00.5') AS m, cast(null AS struct<q: double>) AS z""")
+    assert json.loads(export.export_records(deep).first()["record"]) == {
+        "t": "2026-01-02T01:02:03.456789", "a": [1.5, None],
+        "s": {"d": "2026-01-02", "n": [{"x": None, "y": 2.5}]}, "m": {"k": "2026-01-02T00:00:00.500000"}, "z": None,
+    }
     flags = spark.createDataFrame([("x", None)], "number string, source_deleted string")
     assert tuple(export.typed_property_cast(flags, {"number": "bigint", "source_deleted": "boolean"}).first()) == (None, False)
 

@@ -21,7 +21,7 @@ IMAGE = T.MapType(T.StringType(), T.StringType())
 def parse_image(df: DataFrame, name: str) -> Column:
     """A row image as a map; absent or empty means an empty map.
 
-    JSON text that is no object gives null, see ``bad_images``.
+    JSON text that is no object gives null, see ``read_changes``.
     """
     empty = F.from_json(F.lit("{}"), IMAGE)
     if name not in df.columns:
@@ -37,14 +37,6 @@ def parse_image(df: DataFrame, name: str) -> Column:
     return F.coalesce(parsed, empty)
 
 
-def bad_images(changelog: DataFrame) -> DataFrame:
-    """Changes whose key or images cannot be read, to set aside and report."""
-    broken = F.lit(False)
-    for name in ("pk", "after", "before"):
-        broken = broken | parse_image(changelog, name).isNull()
-    return changelog.filter(broken)
-
-
 def _primary_key(table_name: str | None, primary_key: list[str] | None) -> list[str]:
     if primary_key:
         return list(primary_key)
@@ -54,12 +46,9 @@ def _primary_key(table_name: str | None, primary_key: list[str] | None) -> list[
     return list(SOURCE_KEYS[table])
 
 
-def reduce_cdc_to_current(
-    changelog: DataFrame, table_name: str | None = None, primary_key: list[str] | None = None
-) -> DataFrame:
-    """One row per key: the key columns, ``image``, ``source_deleted``, ``_op``
-    and ``_source_ts``. Use ``unpack_image`` to turn the image into columns."""
-    keys = _primary_key(table_name, primary_key)
+def read_changes(changelog: DataFrame, keys: list[str]) -> DataFrame:
+    """Every change with its key columns, image and order, and the ``problem`` that
+    keeps it from counting: an image that cannot be read, or no key value at all."""
     op = normalize_op(F.col("op") if "op" in changelog.columns else F.lit(None).cast("string"))
     prepared = changelog.select(
         op.alias("_op"),
@@ -73,25 +62,60 @@ def reduce_cdc_to_current(
             epoch_millis(changelog, "read_timestamp").alias("read"),
             F.coalesce(_column(changelog, "uuid"), F.lit("")).alias("event"),
         ).alias("order"),
-    ).dropna(subset=["pk", "after", "before"])
+        F.struct("*").alias("change"),
+    )
     image = F.when(F.col("_op") == "DELETE", F.col("before")).otherwise(F.col("after"))
     own = lambda key: F.try_element_at("pk", F.lit(key))
     read = lambda key: F.when(
         F.size("pk") > 0, own(key)
     ).otherwise(F.try_element_at("image", F.lit(key)))
-    rows = (
-        prepared.withColumn("image", image)
-        .select(
-            *[read(key).alias(key) for key in keys],
-            F.map_concat(
-                F.map_filter("image", lambda name, _: ~F.map_contains_key("pk", name)), "pk"
-            ).alias("image"),
-            (F.col("_op") == "DELETE").alias("source_deleted"),
-            "_op", "_source_ts", "order",
-        )
+    unreadable = F.col("pk").isNull() | F.col("after").isNull() | F.col("before").isNull()
+    rows = prepared.withColumn("unreadable", unreadable).withColumn("image", image).select(
+        *[read(key).alias(key) for key in keys],
+        F.map_concat(
+            F.map_filter("image", lambda name, _: ~F.map_contains_key("pk", name)), "pk"
+        ).alias("image"),
+        (F.col("_op") == "DELETE").alias("source_deleted"),
+        "_op", "_source_ts", "order", "unreadable", "change",
+    )
+    keyless = F.coalesce(*keys).isNull()
+    problem = F.when(F.col("unreadable"), "unreadable image").when(keyless, "no key value")
+    return rows.withColumn("problem", problem).drop("unreadable")
+
+
+CURRENT = ["image", "source_deleted", "_op", "_source_ts"]
+
+
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(latest_by(F.col("order"), CURRENT)).select(*keys, "row.*")
+
+
+def reduce_cdc_to_current(
+    changelog: DataFrame, table_name: str | None = None, primary_key: list[str] | None = None
+) -> DataFrame:
+    """One row per key: the key columns, ``image``, ``source_deleted``, ``_op``
+    and ``_source_ts``. Use ``unpack_image`` to turn the image into columns.
+
+    Fails on a change with an unreadable image or without any key value, because
+    leaving it out would lose data; ``reduce_cdc_with_rejected`` sets those aside.
+    """
+    keys = _primary_key(table_name, primary_key)
+    stop = F.raise_error(F.concat(F.lit("change with "), F.col("problem")))
+    checked = read_changes(changelog, keys).withColumn(
+        keys[0], F.when(F.col("problem").isNotNull(), stop.cast("string")).otherwise(F.col(keys[0]))
     )
-    kept = ["image", "source_deleted", "_op", "_source_ts"]
-    return rows.groupBy(*keys).agg(latest_by(F.col("order"), kept)).select(*keys, "row.*")
+    return _newest(checked, keys)
+
+
+def reduce_cdc_with_rejected(
+    changelog: DataFrame, table_name: str | None = None, primary_key: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The current rows of all sound changes, and the other changes as they came,
+    with their ``problem``."""
+    keys = _primary_key(table_name, primary_key)
+    rows = read_changes(changelog, keys)
+    current = _newest(rows.filter(F.col("problem").isNull()), keys)
+    return current, rows.filter(F.col("problem").isNotNull()).select("change.*", "problem")
 
 
 def epoch_micros(df: DataFrame, name: str) -> Column:
@@ -218,11 +242,12 @@ def newest_per_key(keyed: DataFrame) -> DataFrame:
 
 
 def envelope_ingest(envelopes: DataFrame) -> DataFrame:
-    """Current row per table and key of a batch of envelopes.
+    """Current row per table and key of a batch of envelopes; as the newest row of a
+    key wins, an envelope that came twice needs no step of its own.
 
     Fails on a change without key values, because dropping it would lose data.
     """
-    keyed = keyed_envelopes(dedupe_uuid(envelopes))
+    keyed = keyed_envelopes(envelopes)
     problem = F.concat(F.lit("change without key values in table "), F.col("table"))
     checked = keyed.withColumn(
         "pk", F.when(F.col("pk").isNull(), F.raise_error(problem)).otherwise(F.col("pk"))

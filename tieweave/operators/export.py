@@ -7,23 +7,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _plain(field: T.StructField) -> Column:
-    """Not-a-number as null, decimals as doubles, dates and times as ISO text."""
-    value, kind = F.col(f"`{field.name}`"), field.dataType
+def _plain(value: Column, kind: T.DataType) -> Column:
+    """Not-a-number as null, decimals as doubles, dates and times as ISO text with
+    their microseconds if there are any; the same within structs, arrays and maps."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        value = F.when(~F.isnan(value), value)
-    elif isinstance(kind, T.DecimalType):
-        value = value.cast("double")
-    elif isinstance(kind, T.DateType):
-        value = F.date_format(value, "yyyy-MM-dd")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        value = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
-    return value.alias(field.name)
+        return F.when(~F.isnan(value), value)
+    if isinstance(kind, T.DecimalType):
+        return value.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.date_format(value, "yyyy-MM-dd")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
+        parts = F.date_format(value, "SSSSSS")
+        return F.when(parts == "000000", whole).otherwise(F.concat_ws(".", whole, parts))
+    if isinstance(kind, T.StructType):
+        fields = [_plain(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: _plain(item, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, item: _plain(item, kind.valueType))
+    return value
 
 
 def export_records(df: DataFrame) -> DataFrame:
     """One JSON text per row, missing values written as null."""
-    plain = F.struct(*[_plain(field) for field in df.schema.fields])
+    plain = F.struct(*[
+        _plain(F.col(f"`{field.name}`"), field.dataType).alias(field.name) for field in df.schema.fields
+    ])
     return df.select(F.to_json(plain, {"ignoreNullFields": "false"}).alias("record"))
 
 

@@ -425,6 +425,24 @@ def reduce_cdc_to_current(w: Workspace) -> DataFrame:
     return changes.unpack_image(current, {"id": "bigint", "k": "bigint"})
 
 
+@query("""SELECT problem, count(*) AS changes FROM (
+    SELECT CASE WHEN uuid % 3 = 0 THEN 'unreadable image' ELSE 'no key value' END AS problem
+    FROM fx_changelog WHERE uuid % 3 < 2) p GROUP BY problem
+UNION ALL SELECT 'none' AS problem, count(DISTINCT pk_id) AS changes FROM fx_changelog WHERE uuid % 3 = 2""")
+def reduce_cdc_to_current_rejected(w: Workspace) -> DataFrame:
+    """Of the change log, a third is made unreadable and a third loses its key."""
+    kind = F.col("uuid").cast("bigint") % 3
+    spoiled = (
+        changelog(w)
+        .withColumn("after", F.when(kind == 0, "[1]").when(kind == 1, "{}").otherwise(F.col("after")))
+        .withColumn("before", F.when(kind == 1, F.lit("{}")).otherwise(F.col("before")))
+        .withColumn("pk", F.when(kind == 1, F.lit("{}")).otherwise(F.col("pk")))
+    )
+    current, rejected = changes.reduce_cdc_with_rejected(spoiled, "core.users")
+    sound = current.agg(F.lit("none").alias("problem"), F.count(F.lit(1)).alias("changes"))
+    return rejected.groupBy("problem").agg(F.count(F.lit(1)).alias("changes")).unionByName(sound)
+
+
 @query("""SELECT 'core.users' AS table_name, id, k FROM fx_current
 UNION ALL SELECT 'core.events', id, k FROM fx_current WHERE NOT source_deleted""")
 def reduce_streams_to_current(w: Workspace) -> DataFrame:
@@ -689,6 +707,21 @@ def stream_job(w: Workspace) -> DataFrame:
     return state.unpacked("core.users", {"id": "bigint", "k": "bigint"})
 
 
+@query(CURRENT_SQL)
+def stream_job_two_checkpoints(w: Workspace) -> DataFrame:
+    """The change log dealt to two streams with a checkpoint each, on one state."""
+    state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
+    half = F.xxhash64("uuid") % 2 == 0
+    for chosen in (half, ~half):
+        folder = scratch_path(w.spark, "envelopes")
+        envelopes(w).filter(chosen).repartition(3, "uuid").write.json(folder)
+        stream.stream_job(
+            stream.scan_envelope_stream(w.spark, folder, max_files=1), state,
+            scratch_path(w.spark, "checkpoint"), scratch_path(w.spark, "log"), None,
+        ).awaitTermination()
+    return state.unpacked("core.users", {"id": "bigint", "k": "bigint"})
+
+
 @query(CURRENT_SQL)
 def late_change(w: Workspace) -> DataFrame:
     """The newer half of the change log is merged before the older half."""
@@ -714,19 +747,27 @@ def project_after_batch(w: Workspace) -> DataFrame:
     return users.select("user_id", "source_deleted")
 
 
-@query("SELECT 'done' AS status, count(DISTINCT pk_id) AS changed_keys FROM fx_changelog")
+@query("SELECT 'done' AS status, count(DISTINCT pk_id) AS changed_keys, count(*) AS rows FROM fx_changelog")
 def batch_log(w: Workspace) -> DataFrame:
     state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
     log = scratch_path(w.spark, "log")
     source = stream.scan_envelope_stream(w.spark, _envelope_files(w))
     stream.stream_job(source, state, scratch_path(w.spark, "checkpoint"), log, None).awaitTermination()
-    return stream.batch_log(w.spark, log).groupBy("status").agg(F.sum("changed_keys").alias("changed_keys"))
+    return stream.batch_log(w.spark, log).groupBy("status").agg(
+        F.sum("changed_keys").alias("changed_keys"), F.sum("rows").alias("rows")
+    )
 
 
-@query("SELECT CAST(uuid AS STRING) AS uuid, pk_id AS id FROM fx_changelog")
+@query("""SELECT CAST(uuid AS STRING) AS uuid, pk_id AS id FROM fx_changelog WHERE uuid % 5 <> 0
+UNION ALL SELECT CASE WHEN uuid % 2 = 0 THEN '' END, pk_id FROM fx_changelog WHERE uuid % 5 = 0
+UNION ALL SELECT CASE WHEN uuid % 2 = 0 THEN '' END, pk_id FROM fx_changelog WHERE uuid % 5 = 0""")
 def uuid_dedupe_bounded(w: Workspace) -> DataFrame:
-    """Two deliveries of every envelope in one stream, written once each."""
-    folder, target = _envelope_files(w), scratch_path(w.spark, "deduped")
+    """Two deliveries of every envelope in one stream: once each, but for the fifth
+    without an id, which all pass."""
+    folder, target = scratch_path(w.spark, "envelopes"), scratch_path(w.spark, "deduped")
+    number = F.col("uuid").cast("bigint")
+    none = F.when(number % 2 == 0, F.lit(""))
+    envelopes(w).withColumn("uuid", F.when(number % 5 == 0, none).otherwise(F.col("uuid"))).write.json(folder)
     source = stream.scan_envelope_stream(w.spark, folder)
     twice = source.unionByName(stream.scan_envelope_stream(w.spark, folder))
     flat = stream.uuid_dedupe_bounded(twice, "400 days").select(
@@ -752,6 +793,7 @@ def state_merge_continuous(w: Workspace) -> DataFrame:
         .trigger(availableNow=True).start().awaitTermination()
     )
     improved = w.spark.read.option("recursiveFileLookup", True).parquet(target)
-    last = improved.groupBy("table", "pk").agg(F.max_by("row", "place").alias("row"))
-    row = F.from_json("row", "payload map<string,string>, source_deleted boolean")
-    return _unpacked(last.select(row.alias("row")).select("row.*"))
+    last = improved.groupBy("table", "pk").agg(
+        F.max_by(F.struct("payload", "source_deleted"), "order").alias("row")
+    )
+    return _unpacked(last.select("row.*"))
