@@ -155,10 +155,10 @@ def latest_by_commit_ts(
     columns = [name for name in batch.columns if name not in (*keys, op)]
     marked = batch.withColumn("source_deleted", normalize_op(_column(batch, op)) == "DELETE")
     order = F.struct(
-        epoch_micros(batch, commit).alias("at"), F.struct(*columns).alias("rest")
+        epoch_micros(batch, commit).alias("at"), F.struct(*columns, "source_deleted").alias("rest")
     )
-    latest = marked.groupBy(*keys).agg(latest_by(order, [*columns, "source_deleted"]))
-    return latest.select(*keys, "row.*")
+    latest = marked.groupBy(*keys).agg(F.max(order).alias("row"))
+    return latest.select(*keys, "row.rest.*")
 
 
 # Change envelopes

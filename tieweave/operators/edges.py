@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tieweave.operators.merge import one_per_key
 from tieweave.operators.prepare import active_only
+from tieweave.session import sent_whole
 
 # Names of states as the rules use them, in lower case.
 VERIFIED, APPROVED, CANCELLED, USED = "verified", "approved", "cancelled", "used"
@@ -16,14 +17,21 @@ LIVE_RESERVATIONS = ("pending", "confirmed", "completed")
 def state_lookup(df: DataFrame, states: DataFrame, state_id: str, name: str = "state") -> DataFrame:
     """Adds the lower-case name of a state; an unknown state gives its id as text.
 
-    The catalogue has a handful of rows; Spark broadcasts it by its size.
+    The catalogue is sent to all executors when its counted rows allow it: a join by
+    shuffle would put all rows onto as many keys as there are states.
     """
     names = (
         one_per_key(states.select("id", "name").dropna(), ["id"])
         .select(F.col("id").cast("bigint").alias(state_id), F.lower("name").alias(name))
     )
     fallback = F.lower(F.col(state_id).cast("string"))
-    return df.join(names, state_id, "left").withColumn(name, F.coalesce(name, fallback))
+    return df.join(sent_whole(names, names.count()), state_id, "left").withColumn(name, F.coalesce(name, fallback))
+
+
+def _live(df: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+    """The live row of each key, with only the columns that are read afterwards."""
+    deleted = ["source_deleted"] if "source_deleted" in df.columns else []
+    return active_only(df.select(*keys, *columns, *deleted), keys).select(*keys, *columns)
 
 
 def ticket_purchase_edges(
@@ -31,23 +39,20 @@ def ticket_purchase_edges(
     payments: DataFrame, ticket_states: DataFrame,
 ) -> DataFrame:
     """One row per ticket of an approved order with a verified payment."""
-    verified = payments.filter(
-        ~F.coalesce("source_deleted", F.lit(False)) & (F.lower("status") == VERIFIED)
-    )
+    verified = _live(payments, ["payment_id"], "order_id", "status").filter(F.lower("status") == VERIFIED)
     approved = (
-        active_only(orders, ["order_id"])
+        _live(orders, ["order_id"], "status", "updated_at")
         .filter(F.lower("status") == APPROVED)
         .select("order_id", F.col("updated_at").alias("approved_at"))
         .join(verified.select("order_id"), "order_id", "left_semi")
     )
-    details = active_only(order_details, ["order_detail_id"])
-    catalogue = active_only(type_tickets, ["type_ticket_id"])
+    details = _live(order_details, ["order_detail_id"], "ticket_id", "order_id", "unit_price", "discount")
+    catalogue = _live(type_tickets, ["type_ticket_id"], "event_id", "ticket_tier", "price")
     bought = (
-        active_only(tickets, ["ticket_id"])
-        .select("ticket_id", "user_id", "type_ticket_id", "ticket_state_id")
-        .join(details.select("ticket_id", "order_id", "unit_price", "discount"), "ticket_id")
+        _live(tickets, ["ticket_id"], "user_id", "type_ticket_id", "ticket_state_id")
+        .join(details.drop("order_detail_id"), "ticket_id")
         .join(approved, "order_id")
-        .join(catalogue.select("type_ticket_id", "event_id", "ticket_tier", "price"), "type_ticket_id")
+        .join(catalogue, "type_ticket_id")
     )
     paid = F.coalesce("unit_price", "price") - F.coalesce("discount", F.lit(0.0))
     kept = (
@@ -65,8 +70,10 @@ def attendance_edges(
     tickets: DataFrame, type_tickets: DataFrame, ticket_states: DataFrame
 ) -> DataFrame:
     """Used tickets of known types, with the time of use."""
-    catalogue = active_only(type_tickets, ["type_ticket_id"]).select("type_ticket_id", "event_id")
-    live = active_only(tickets, ["ticket_id"])
+    catalogue = _live(type_tickets, ["type_ticket_id"], "event_id")
+    live = _live(
+        tickets, ["ticket_id"], "user_id", "type_ticket_id", "ticket_state_id", "updated_at", "created_at"
+    )
     return (
         state_lookup(live, ticket_states, "ticket_state_id")
         .filter(F.col("state") == USED)
@@ -83,12 +90,12 @@ def reservation_edges(
     reservation_states: DataFrame,
 ) -> DataFrame:
     """Live reservations of known tables, with the table's price for the event."""
-    prices = active_only(
-        table_prices.select("table_id", "event_id", "price", "source_deleted"),
-        ["table_id", "event_id"],
-    ).select("table_id", "event_id", F.col("price").alias("table_price"))
-    known = active_only(tables, ["table_id"]).select("table_id")
-    live = active_only(reservations, ["reservation_id"])
+    prices = _live(table_prices, ["table_id", "event_id"], "price").withColumnRenamed("price", "table_price")
+    known = _live(tables, ["table_id"])
+    live = _live(
+        reservations, ["reservation_id"], "user_id", "table_id", "event_id", "reservation_state_id",
+        "reserved_at", "expires_at",
+    )
     return (
         state_lookup(live, reservation_states, "reservation_state_id")
         .filter(F.col("state").isin(*LIVE_RESERVATIONS))

@@ -20,8 +20,9 @@ def one_per_key(df: DataFrame, keys: list[str], *order) -> DataFrame:
     rest = [name for name in columns if name not in keys]
     if not rest:
         return df.distinct()
-    place = F.struct(*order, *rest)
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("row"))
+    # Every value travels once: the row is read from what ranks it.
+    ranked = [name for name in dict.fromkeys([*order, *rest]) if name not in keys]
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("row"))
     return kept.select(*[F.col(name if name in keys else f"row.{name}").alias(name) for name in columns])
 
 

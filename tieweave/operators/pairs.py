@@ -55,6 +55,26 @@ class Groups:
         return rows.drop("blocks").join(columns.drop("blocks"), cell).drop("row_block", "column_block")
 
 
+def _meet_each_other(groups: Groups, left: DataFrame, right: DataFrame, payload: tuple[str, ...]) -> DataFrame:
+    """Each unordered pair once. Of a large group's cells only those with a row block
+    up to the column block are built; there the pair is put in order afterwards."""
+    if groups.large is None:
+        return groups.meet(left, right).filter("user_1 < user_2")
+    rows = left.withColumn("column_block", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    columns = right.withColumn("row_block", F.explode(F.sequence(F.lit(0), "block")))
+    cell = [*groups.keys, "row_block", "column_block"]
+    met = rows.withColumnRenamed("block", "row_block").drop("blocks").join(
+        columns.withColumnRenamed("block", "column_block").drop("blocks"), cell
+    )
+    met = met.filter("row_block < column_block AND user_1 <> user_2 OR user_1 < user_2")
+    turned = F.col("user_1") > F.col("user_2")
+    swapped = [
+        F.when(turned, F.col(f"{name}_{3 - end}")).otherwise(F.col(f"{name}_{end}")).alias(f"{name}_{end}")
+        for name in ("user", *payload) for end in (1, 2)
+    ]
+    return met.select(*groups.keys, *swapped)
+
+
 def gather_groups(
     members: DataFrame, keys: list[str], member: str, block_rows: int = BLOCK_ROWS
 ) -> Groups:
@@ -86,7 +106,7 @@ def pairs_of(groups: Groups, payload: tuple[str, ...] = ()) -> DataFrame:
         *groups.keys, "blocks", "block", F.col(groups.member).alias("user" + end),
         *[F.col(name).alias(name + end) for name in payload],
     )
-    return groups.meet(side("_1"), side("_2")).filter("user_1 < user_2")
+    return _meet_each_other(groups, side("_1"), side("_2"), payload)
 
 
 def pairs_in_group(
