@@ -207,6 +207,7 @@ def test_louvain_properties_on_shared_data(spark, small):
     assert set(label) == everyone
     reached = modularity(small.graph, found)
     assert reached == pytest.approx(plain_modularity(ties, label), abs=1e-9)
+    assert reached > plain_modularity(ties, {v: v for v in everyone})
     simple = label_propagation(sorted(everyone), adjacency(ties))
     assert reached >= plain_modularity(ties, simple)
     for name in set(label.values()):

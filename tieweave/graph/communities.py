@@ -1,8 +1,10 @@
 """Communities by modularity (Louvain), as rounds of joins.
 
 Vertices move in parallel. Two neighbours that swap places at once would undo
-each other, so a round moves only half of the vertices, chosen by hash, and a
-loner joins another loner only under the smaller label.
+each other, so a round moves only a share of the vertices, chosen by hash, and a
+loner joins another loner only under the smaller label. All gains are whole
+numbers. A level ends when no vertex gains by moving; as moves count only if
+modularity rose, it always ends.
 """
 
 from __future__ import annotations
@@ -16,6 +18,12 @@ from tieweave.graph.social import SocialGraph
 from tieweave.session import RoundTables, partitions_for, sent_whole
 
 
+# Whole numbers whose products still fit a decimal.
+WHOLE = "decimal(19,0)"
+# Rounds of half of the vertices between two measurements.
+ROUNDS = 4
+
+
 @dataclass
 class _Level:
     """The graph of one level: its edges, its weighted vertices and their number."""
@@ -25,62 +33,99 @@ class _Level:
     rows: int
 
 
-def _one_round(level: _Level, state: DataFrame, two_m: float, half: int, seed: int) -> DataFrame:
-    """Community of every vertex after half of them may have moved.
+def _moves(level: _Level, state: DataFrame, two_m: int, share: int, seed: int) -> DataFrame:
+    """The vertices of one share (one in ``share``) that gain by moving, with their best
+    community. A gain is ``links * two_m - k * total``, in whole numbers.
 
-    ``gained`` is what each move adds to modularity on its own. Edges stay where
-    they are; a small state is broadcast to them, a large one is joined.
+    Edges stay where they are; a small state is broadcast to them, a large one is
+    joined. The totals per community are sent whole by the number of vertices that
+    are left in this level, which is at least their own.
     """
-    half_of = f"pmod(xxhash64(src, {seed}), 2) = {half}"
-    gain = f"links - k * (target_total - IF(own, k, 0D)) / {two_m!r}D"
+    chosen = f"pmod(xxhash64(src, {seed}), {share}) = 0"
+    gain = f"links * CAST({two_m} AS DECIMAL(19,0)) - k * (target_total - IF(own, k, 0))"
     allowed = "own OR target_size > 1 OR size > 1 OR target < community"
-    totals = state.groupBy("community").agg(F.sum("k").alias("total"), F.count("id").alias("size"))
+    totals = state.groupBy("community").agg(
+        F.sum("k").cast(WHOLE).alias("total"), F.count("id").alias("size")
+    )
     totals = sent_whole(totals, level.rows)
     placed = sent_whole(state.select("id", "k", "community"), level.rows)
     options = (
-        level.edges.filter(half_of)
+        level.edges.filter(chosen)
         .join(placed.toDF("dst", "far_k", "target"), "dst")
         .groupBy("src", "target")
-        .agg(F.sum("weight").alias("links"))
+        .agg(F.sum("weight").cast(WHOLE).alias("links"))
         .join(totals.toDF("target", "target_total", "target_size"), "target")
         .join(placed.toDF("src", "k", "community"), "src")
         .join(totals, "community")
         .selectExpr("*", "target = community AS own")
         .selectExpr(
             "src AS id", "target", "own", f"{gain} AS gain", f"{allowed} AS allowed",
-            f"-k * (total - k) / {two_m!r}D AS alone",
+            "-k * (total - k) AS alone",
         )
     )
-    moves = (
+    return (
         options.groupBy("id")
         .agg(
             F.expr("min(IF(allowed, struct(-gain AS loss, target), null)) AS best"),
             F.expr("coalesce(max(IF(own, gain, null)), first(alone)) AS stay"),
         )
-        .selectExpr("id", "best.target AS target", "-best.loss - stay AS rise")
-        .filter("rise > 1e-9")
+        .filter("-best.loss > stay")
+        .selectExpr("id", "best.target AS target")
+    )
+
+
+def _quality(level: _Level, state: DataFrame, two_m: int) -> int:
+    """Modularity of a state times ``two_m`` squared, but for what lies within the
+    vertices of this level: a whole number, exact."""
+    end = lambda key, name: sent_whole(
+        state.select(F.col("id").alias(key), F.col("community").alias(name)), level.rows
     )
-    return state.join(sent_whole(moves, level.rows), "id", "left").selectExpr(
-        "id", "k", "coalesce(target, community) AS community",
-        f"2 * coalesce(rise, 0D) / {two_m!r}D AS gained",
+    inside = (
+        level.edges.join(end("dst", "b"), "dst").join(end("src", "a"), "src")
+        .agg(F.sum(F.when(F.col("a") == F.col("b"), F.col("weight")).otherwise(0))).first()[0]
     )
+    totals = state.groupBy("community").agg(F.sum("k").cast(WHOLE).alias("total"))
+    squares = totals.agg(F.sum((F.col("total") * F.col("total")).cast("decimal(38,0)"))).first()[0]
+    return int(inside or 0) * two_m - int(squares or 0)
 
 
-def _move_vertices(
-    level: _Level, two_m: float, rounds: int, least_gain: float, tables: RoundTables
-) -> DataFrame | None:
-    """Moves until two rounds together promise too little; None when none moved."""
-    state, written = level.nodes.select("id", "k", F.col("id").alias("community")), None
-    promised = []
-    for number in range(rounds):
-        after = _one_round(level, state, two_m, number % 2, number // 2)
-        after, taken = tables.write(after, gained=F.sum("gained"))
-        tables.drop(written)
-        written, state = after, after.drop("gained")
-        promised.append(taken["gained"])
-        if len(promised) > 1 and sum(promised[-2:]) < least_gain:
-            break
-    return state if sum(promised) else None
+def _move_vertices(level: _Level, two_m: int, tables: RoundTables) -> DataFrame | None:
+    """Moves until no vertex gains by it; None when none moved.
+
+    Every few rounds the state is measured. If the moves did not add up to a gain they
+    are taken back, and a smaller share moves next and is measured at once; a single
+    move always gains, so this comes to an end.
+    """
+    state = level.nodes.select("id", "k", F.col("id").alias("community"))
+    best, reached, moved = None, _quality(level, state, two_m), False
+    share, seed = 2, 0
+    while True:
+        trial, written, rose = state, [], 0
+        for _ in range(ROUNDS if share == 2 else 1):
+            moves = sent_whole(_moves(level, trial, two_m, share, seed), level.rows)
+            seed += 1
+            after = trial.join(moves, "id", "left").select(
+                "id", "k", F.coalesce("target", "community").alias("community"),
+                F.col("target").isNotNull().alias("moved"),
+            )
+            after, taken = tables.write(after, moved=F.count_if("moved"))
+            written.append(after)
+            trial, rose = after.drop("moved"), rose + taken["moved"]
+        for passed in written[:-1]:
+            tables.drop(passed)
+        if not rose:
+            tables.drop(written[-1])
+            if _moves(level, state, two_m, 1, seed).isEmpty():
+                return state if moved else None
+            share = 2
+            continue
+        quality = _quality(level, trial, two_m)
+        if quality > reached:
+            tables.drop(best)
+            state, best, reached, moved, share = trial, written[-1], quality, True, max(2, share // 2)
+        else:
+            tables.drop(written[-1])
+            share *= 2
 
 
 def _placed(edges: DataFrame, rows: int, graph: SocialGraph) -> DataFrame:
@@ -91,30 +136,28 @@ def _placed(edges: DataFrame, rows: int, graph: SocialGraph) -> DataFrame:
     return edges.repartition(parts, "src", "dst").persist()
 
 
-def louvain(
-    graph: SocialGraph, max_levels: int = 10, max_rounds: int = 10, least_gain: float = 1e-3
-) -> DataFrame:
+def louvain(graph: SocialGraph) -> DataFrame:
     """``id`` and ``community`` of every vertex, unweighted.
 
-    A level moves vertices, then folds each community into one vertex. It counts
-    only if modularity rose by ``least_gain``. A community is named by its
-    smallest member.
+    A level moves vertices until none gains, then folds each community into one
+    vertex; levels go on until none moves. A community is named by its smallest member.
     """
     tables = RoundTables(graph.vertices.sparkSession, "louvain")
     seed = F.lit(graph.hash_seed())
     key = lambda name: F.xxhash64(name, seed)
     connected = graph.vertices.filter("degree > 0")
-    nodes = connected.select(key("id").alias("id"), F.col("degree").cast("double").alias("k"))
+    nodes = connected.select(key("id").alias("id"), F.col("degree").cast(WHOLE).alias("k"))
     members = connected.select("id", key("id").alias("community"))
-    two_m, squares = nodes.agg(F.sum("k"), F.sum(F.col("k") * F.col("k"))).first()
-    quality = -(squares or 0.0) / (two_m or 1.0) ** 2
+    two_m = int(nodes.agg(F.sum("k")).first()[0] or 0)
     edges = _placed(
-        graph.edges.select(key("src").alias("src"), key("dst").alias("dst"), F.lit(1.0).alias("weight")),
+        graph.edges.select(
+            key("src").alias("src"), key("dst").alias("dst"), F.lit(1).cast(WHOLE).alias("weight")
+        ),
         graph.edge_count, graph,
     )
     level = _Level(edges, nodes, graph.vertex_count)
-    for _ in range(max_levels if two_m else 0):
-        state = _move_vertices(level, two_m, max_rounds, least_gain, tables)
+    while two_m:
+        state = _move_vertices(level, two_m, tables)
         if state is None:
             break
         state = sent_whole(state, level.rows)
@@ -126,16 +169,11 @@ def louvain(
             .join(target("src", "from"), "src")
             .filter(F.col("from") != F.col("to"))
             .groupBy(F.col("from").alias("src"), F.col("to").alias("dst"))
-            .agg(F.sum("weight").alias("weight")),
-            weight=F.sum("weight"),
+            .agg(F.sum("weight").cast(WHOLE).alias("weight"))
         )
         sums, spread = tables.write(
-            state.groupBy(F.col("community").alias("id")).agg(F.sum("k").alias("k")),
-            squares=F.sum(F.col("k") * F.col("k")),
+            state.groupBy(F.col("community").alias("id")).agg(F.sum("k").cast(WHOLE).alias("k"))
         )
-        reached = 1.0 - (between["weight"] or 0.0) / two_m - spread["squares"] / two_m**2
-        if reached <= quality:
-            break
         members, _ = tables.write(
             members.join(target("community", "next"), "community").select(
                 "id", F.col("next").alias("community")
@@ -143,9 +181,8 @@ def louvain(
         )
         level.edges.unpersist()
         level = _Level(_placed(folded, between["rows"], graph), sums, spread["rows"])
-        if reached < quality + least_gain or not between["rows"]:
+        if not between["rows"]:
             break
-        quality = reached
     level.edges.unpersist()
     names = members.groupBy("community").agg(F.min("id").alias("name"))
     named = members.join(names, "community").select("id", F.col("name").alias("community"))
