@@ -124,22 +124,27 @@ def matched(docs: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, kind, start, end) of all secrets; kinds by their number."""
-    matches = matched(docs)
-    names = [*ROW, "kind", "start", "end"]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = F.col("kind").isin(1, 2) | ((F.col("kind") == 0) & (F.length("value") >= LEAST_VALUE))
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | F.col("match").rlike(pattern)
+    candidate = (F.col("kind") == 3) & ~allowed
     bits = F.when(F.col("match").rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
     places = F.transform(F.split("match", ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    hot = (
-        matches.filter((F.col("kind") == 3) & ~allowed)
-        .select(*ROW, "kind", "start", bits.alias("bits"), places.alias("places"))
-        .withColumn("hot", hot_range(F.col("places"), F.col("bits")))
-        .filter("hot.first IS NOT NULL")
-        .select(*ROW, "kind", (F.col("start") + F.col("hot.first")).alias("start"), (F.col("start") + F.col("hot.last")).alias("end"))
+    # Few rows take long here, so they are dealt to as many tasks as there may be.
+    judged = (
+        matched(docs).filter(plain | candidate).repartition(parts, *ROW)
+        .select(
+            *ROW, "kind", "start", "end", F.when(F.col("kind") == 3, bits).alias("bits"),
+            F.when(F.col("kind") == 3, places).alias("places"),
+        )
+        .withColumn("hot", F.when(F.col("kind") == 3, hot_range(F.col("places"), F.col("bits"))))
+        .filter("kind < 3 OR hot.first IS NOT NULL")
     )
-    return matches.filter(plain).select(*names).union(hot)
+    start = F.when(F.col("kind") < 3, F.col("start")).otherwise(F.col("start") + F.col("hot.first"))
+    end = F.when(F.col("kind") < 3, F.col("end")).otherwise(F.col("start") + F.col("hot.last"))
+    return judged.select(*ROW, "kind", start.alias("start"), end.alias("end"))
 
 
 def per_row(docs: DataFrame) -> DataFrame:
