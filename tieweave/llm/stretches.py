@@ -30,7 +30,7 @@ from tieweave.session import RoundTables, sent_whole
 #: Symbols that are hashed at once.
 SLICE = 1 << 19
 #: A key with more different stretches is divided by further grams of its windows.
-HOT_PIECES = 20_000
+HOT_PIECES = 1_000
 #: Rows that a task resolves, and pieces whose keys it hands to the method, at once.
 ROWS, PIECES = 1 << 18, 1 << 14
 _BASE = 0x9E3779B97F4A7C15
