@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tieweave.functions.columns import log_position, normalize_op
 from tieweave.operators import changes, export, merge, normalize_cdc, normalize_seed, prepare
 from tieweave.operators.edges import state_lookup
+from tieweave.plans import batch_job
 from tieweave.plans.registry import query
 from tieweave.plans.workspace import Workspace
 from tieweave.session import scratch_path
@@ -73,7 +74,7 @@ def raw_type_tickets(w: Workspace) -> DataFrame:
 
 
 def raw_reservations(w: Workspace) -> DataFrame:
-    return w.booked_lines.filter("l_returnflag = 'A'").select(
+    return w.booked_lines.select(
         _text("o_custkey").alias("user_id"), _text("l_suppkey").alias("table_id"),
         _text("l_partkey").alias("event_id"),
     )
@@ -142,7 +143,7 @@ def norm_csv_asistio_a(w: Workspace) -> DataFrame:
 RESERVO_SQL = """
 SELECT '{p}:' || CAST(o_custkey AS STRING) AS user_id, '{p}:' || CAST(l_suppkey AS STRING) AS table_id,
        '{p}:' || CAST(l_partkey AS STRING) AS event_id, '{p}' AS source
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'A'"""
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
 @query(RESERVO_SQL.format(p="csv"))
@@ -797,3 +798,60 @@ def state_merge_continuous(w: Workspace) -> DataFrame:
         F.max_by(F.struct("payload", "source_deleted"), "order").alias("row")
     )
     return _unpacked(last.select("row.*"))
+
+
+# The batch job
+
+
+SEED_ROWS_SQL = """
+WITH u AS (SELECT 'csv:' || CAST(c_custkey AS STRING) AS id FROM customer),
+e AS (SELECT 'csv:' || CAST(p_partkey AS STRING) AS id, p_size >= 25 AS vip, p_size > 16 AS sold,
+             DATE '2024-01-01' + CAST(p_partkey % 365 AS INT) AS event_date FROM part),
+a AS (SELECT DISTINCT 'csv:' || CAST(o_custkey AS STRING) AS user_id, e.id AS event_id, e.vip, e.event_date
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      JOIN e ON e.id = 'csv:' || CAST(l_partkey AS STRING) AND e.sold),
+r AS (SELECT DISTINCT 'csv:' || CAST(o_custkey AS STRING) AS user_id, 'csv:' || CAST(l_suppkey AS STRING) AS table_id,
+             'csv:' || CAST(l_partkey AS STRING) AS event_id
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+rp AS (SELECT x.user_id AS user_1, y.user_id AS user_2, count(*) AS n
+       FROM r x JOIN r y ON x.event_id = y.event_id AND x.user_id < y.user_id GROUP BY 1, 2),
+ap AS (SELECT x.user_id AS user_1, y.user_id AS user_2, count(*) AS n,
+              sum(CASE WHEN x.vip THEN 1 ELSE 0 END) AS v
+       FROM a x JOIN a y ON x.event_id = y.event_id AND x.user_id < y.user_id GROUP BY 1, 2)
+SELECT 'usuarios' AS part, id AS key, 0E0 AS strength FROM u
+UNION ALL SELECT 'eventos', id, 0E0 FROM e
+UNION ALL SELECT 'mesas', 'csv:' || CAST(s_suppkey AS STRING), 0E0 FROM supplier
+UNION ALL SELECT 'asistio_a', user_id || '|' || event_id, 0E0 FROM a
+UNION ALL SELECT 'reservo', user_id || '|' || table_id || '|' || event_id, 0E0 FROM r
+UNION ALL SELECT 'conoce_a', ap.user_1 || '|' || ap.user_2,
+       round(ap.n + ap.v * 0.5E0 + coalesce(rp.n, 0) * 0.75E0, 3)
+FROM ap LEFT JOIN rp ON rp.user_1 = ap.user_1 AND rp.user_2 = ap.user_2"""
+
+
+def _stored(store: batch_job.GraphStore, names: tuple[str, ...]) -> DataFrame:
+    """(part, key, strength) of every row of some tables."""
+    made = None
+    for name in names:
+        table = store.table(name)
+        strength = F.col("tie_strength") if name == batch_job.TIES else F.lit(0.0)
+        rows = table.current().select(
+            F.lit(name).alias("part"), F.concat_ws("|", *table.keys).alias("key"), strength.alias("strength")
+        )
+        made = rows if made is None else made.unionByName(rows)
+    return made
+
+
+@query(SEED_ROWS_SQL)
+def etl_job_seed(w: Workspace) -> DataFrame:
+    """All seed files through the batch job, twice; the second run finds nothing new."""
+    folder = scratch_path(w.spark, "seed")
+    raw = {
+        "users": raw_users(w), "events": raw_events(w), "dico_tables": raw_tables(w),
+        "tickets": raw_tickets(w), "type_tickets": raw_type_tickets(w), "reservations": raw_reservations(w),
+    }
+    for name, df in raw.items():
+        df.write.csv(f"{folder}/{name}.csv", header=True)
+    store = batch_job.GraphStore(w.spark, scratch_path(w.spark, "graph"))
+    for _ in range(2):
+        batch_job.etl_job_seed(store, folder)
+    return _stored(store, ("usuarios", "eventos", "mesas", "asistio_a", "reservo", "conoce_a"))

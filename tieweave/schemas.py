@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,10 +72,28 @@ def parse_fields(ddl: str) -> list[tuple[str, str, bool]]:
     return fields
 
 
+_reports: list[dict[str, DataFrame]] = []
+
+
+@contextmanager
+def rejections() -> Iterator[dict[str, DataFrame]]:
+    """Collects, per table, the rows that ``conform`` leaves out meanwhile."""
+    report: dict[str, DataFrame] = {}
+    _reports.append(report)
+    try:
+        yield report
+    finally:
+        _reports.remove(report)
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Applies the declared columns and types and drops rows without a key."""
+    """Applies the declared columns and types and leaves out rows without a required
+    value, which go to the open ``rejections``."""
     fields = parse_fields(CANONICAL[table])
     shaped = df.select(*[F.col(name).try_cast(kind).alias(name) for name, kind, _ in fields])
+    for report in _reports:
+        left_out = rejected(shaped, table)
+        report[table] = report[table].unionByName(left_out) if table in report else left_out
     return shaped.dropna(subset=[name for name, _, required in fields if required])
 
 
