@@ -535,12 +535,35 @@ def primary_key_resolution(w: Workspace) -> DataFrame:
 # Files
 
 
-@query("SELECT CAST(c_custkey AS STRING) AS id, c_name AS username, c_mktsegment AS rfm_seed_segment FROM customer")
+@query("""SELECT 'users' AS part, CAST(c_custkey AS STRING) AS id, c_name AS name FROM customer
+UNION ALL SELECT 'events', CAST(p_partkey AS STRING), p_name FROM part
+UNION ALL SELECT 'dico_tables', CAST(s_suppkey AS STRING), CAST(s_suppkey AS STRING) FROM supplier""")
 def scan_seed_csv(w: Workspace) -> DataFrame:
     folder = scratch_path(w.spark, "seed")
     raw_users(w).write.csv(f"{folder}/users.csv", header=True)
     raw_events(w).write.csv(f"{folder}/events.csv", header=True)
-    return files.scan_seed_csv(w.spark, folder)["users"].select("id", "username", "rfm_seed_segment")
+    raw_tables(w).write.csv(f"{folder}/dico_tables.csv", header=True)
+    found = files.scan_seed_csv(w.spark, folder)
+    names = {"users": "username", "events": "name", "dico_tables": "number"}
+    made = [
+        found[part].select(F.lit(part).alias("part"), "id", F.col(name).alias("name"))
+        for part, name in names.items()
+    ]
+    return made[0].unionByName(made[1]).unionByName(made[2])
+
+
+@query("""SELECT CAST(c_custkey % 3 AS INT) AS part, c_custkey AS id, c_name AS username FROM customer""")
+def source_file_column(w: Workspace) -> DataFrame:
+    """Three change files of one table; each row tells which one it came from."""
+    folder = scratch_path(w.spark, "feed")
+    rows = w.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("username"))
+    paths = [f"{folder}/{part}/data/core/users" for part in range(3)]
+    for part, path in enumerate(paths):
+        rows.filter(F.col("id") % 3 == part).write.parquet(path)
+    manifest = w.spark.createDataFrame([(path,) for path in paths], "uri string")
+    found = files.scan_cdc_parquet(w.spark, manifest)["core.users"]
+    part = F.regexp_extract("source_file", "/([0-2])/data/core/users/", 1).cast("int")
+    return found.select(part.alias("part"), "id", "username")
 
 
 def notifications(w: Workspace) -> DataFrame:
@@ -748,6 +771,34 @@ def project_after_batch(w: Workspace) -> DataFrame:
     return users.select("user_id", "source_deleted")
 
 
+@query("SELECT CAST(uuid AS STRING) AS uuid FROM fx_changelog WHERE uuid % 2 = 0")
+def path_filter(w: Workspace) -> DataFrame:
+    """The change log in two folders, of which the stream takes one."""
+    folder, target = scratch_path(w.spark, "inbox"), scratch_path(w.spark, "taken")
+    even = F.col("uuid").cast("bigint") % 2 == 0
+    for name, chosen in (("keep", even), ("skip", ~even)):
+        envelopes(w).filter(chosen).write.json(f"{folder}/{name}")
+    source = stream.scan_envelope_stream(w.spark, folder, prefix="/keep/")
+    (
+        source.select("uuid").writeStream.format("parquet").option("path", target)
+        .option("checkpointLocation", scratch_path(w.spark, "checkpoint"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return w.spark.read.parquet(target)
+
+
+@query("""SELECT CAST(0 AS BIGINT) AS batch_id, 'empty' AS status, CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS changed_keys
+UNION ALL SELECT 1, 'done', count(*), count(DISTINCT pk_id) FROM fx_changelog""")
+def empty_batch_guard(w: Workspace) -> DataFrame:
+    """An empty batch before the change log: it is logged and changes nothing."""
+    state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
+    log = scratch_path(w.spark, "log")
+    handle = stream.batch_handler(state, log)
+    handle(envelopes(w).filter(F.lit(False)), 0)
+    handle(envelopes(w), 1)
+    return stream.batch_log(w.spark, log).select("batch_id", "status", "rows", "changed_keys")
+
+
 @query("SELECT 'done' AS status, count(DISTINCT pk_id) AS changed_keys, count(*) AS rows FROM fx_changelog")
 def batch_log(w: Workspace) -> DataFrame:
     state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
