@@ -1,8 +1,9 @@
 """Betweenness of every vertex, from all sources, as joins.
 
 The state of one source is a row per vertex: cost and number of the cheapest
-paths. Sources are walked together in batches, spread over the cluster by
-source. With a small edge table (checked by count) each partition meets a
+paths. Sources are walked together in batches. A round joins only the vertices
+that it settles with their edges, so the work of all rounds together is sources
+times edges. With a small edge table (checked by count) each partition meets a
 broadcast of it, so messages are added up where they arise; a larger one is
 joined by shuffle. Costs are whole thousandths, hence equal costs are exactly
 equal, and vertices go by a checked 64-bit hash of their id.
@@ -14,38 +15,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tieweave.graph.social import SocialGraph
-from tieweave.session import BROADCAST_ROWS, RoundTables
+from tieweave.session import RoundTables, path_exists, remove_path, scratch_path, sent_whole
 
 
 class _Walk:
-    """Edges with whole-number costs between hashed vertices, plus a self edge
-    of cost null per vertex that carries its own row into the next round."""
+    """Edges with whole-number costs between hashed vertices."""
 
     def __init__(self, graph: SocialGraph, weighted: bool, tables: RoundTables) -> None:
         self.tables = tables
         cost = F.round(F.col("weight") * 1000) if weighted else F.lit(1)
         seed = F.lit(graph.hash_seed())
         connected = graph.vertices.filter("degree > 0")
-        self.names = connected.select("id", F.xxhash64("id", seed).alias("node"))
+        self.names, named = tables.write(connected.select("id", F.xxhash64("id", seed).alias("node")))
+        inexact = F.abs(F.col("weight") * 1000 - cost) > 1e-6 if weighted else F.lit(False)
         steps = graph.edges.select(
             F.xxhash64("src", seed).alias("node"), F.xxhash64("dst", seed).alias("to"),
-            cost.cast("long").alias("step"),
+            cost.cast("long").alias("step"), inexact.alias("inexact"),
         )
-        still = self.names.select("node", F.col("node").alias("to"), F.lit(None).cast("long").alias("step"))
-        self.edges, taken = tables.write(steps.unionByName(still), least=F.min("step"))
-        self.rows, self.least = taken["rows"], taken["least"]
-        self.count = self.rows - graph.edge_count
+        self.kept, taken = tables.write(steps, least=F.min("step"), inexact=F.count_if("inexact"))
+        self.edges = self.kept.drop("inexact")
+        self.rows, self.least, self.inexact = taken["rows"], taken["least"], taken["inexact"]
+        self.count = named["rows"]
 
-    def from_state(self, state: DataFrame) -> DataFrame:
-        if self.rows <= BROADCAST_ROWS:
-            return state.repartition("source").join(F.broadcast(self.edges), "node")
-        return state.join(self.edges, "node")
+    def along(self, frontier: DataFrame) -> DataFrame:
+        """The rows of some vertices at all of their edges."""
+        return frontier.join(sent_whole(self.edges, self.rows), "node")
 
     def forward(self, sources: DataFrame) -> tuple[DataFrame, list[int]]:
         """Final costs and path counts, and the cost bounds of the rounds.
 
         A round settles every vertex that costs less than the cheapest open one
-        plus the cheapest edge: nothing still open can improve or equal it.
+        plus the cheapest edge: nothing still open can improve or equal it. Only
+        those vertices travel along their edges; what arrives is added to the state,
+        in which the least cost of each vertex stays.
         """
         state, _ = self.tables.write(
             sources.select(
@@ -56,23 +58,20 @@ class _Walk:
         low, bounds = 0, [0]
         while low is not None:
             high = low + self.least
-            settled = (F.col("cost") >= bounds[-1]) & (F.col("cost") < high)
+            settled = state.filter((F.col("cost") >= bounds[-1]) & (F.col("cost") < high))
+            arrived = self.along(settled).select(
+                "source", F.col("to").alias("node"), (F.col("cost") + F.col("step")).alias("cost"), "paths"
+            )
             merged = (
-                self.from_state(state)
-                .filter(F.col("step").isNull() | settled)
-                .select(
-                    "source", F.col("to").alias("node"),
-                    (F.col("cost") + F.coalesce("step", F.lit(0))).alias("cost"), "paths",
-                )
+                arrived.unionByName(state)
                 .groupBy("source", "node", "cost")
                 .agg(F.sum("paths").alias("paths"))
                 .groupBy("source", "node")
-                .agg(F.min("cost").alias("least"), F.min_by("paths", "cost").alias("paths"))
-                .withColumnRenamed("least", "cost")
+                .agg(F.min(F.struct("cost", "paths")).alias("best"))
+                .select("source", "node", "best.cost", "best.paths")
             )
-            open_cost = F.when(F.col("cost") >= high, F.col("cost"))
             previous = state
-            state, taken = self.tables.write(merged, next=F.min(open_cost))
+            state, taken = self.tables.write(merged, next=F.min(F.when(F.col("cost") >= high, F.col("cost"))))
             self.tables.drop(previous)
             bounds.append(high)
             low = taken["next"]
@@ -83,38 +82,44 @@ class _Walk:
 
         A settled vertex offers its share to every neighbour at the cost a
         cheapest path would have there; only a neighbour that really has that
-        cost takes it.
+        cost takes it. Offers lie by the round that reads them, and each is read once.
         """
-        taken_in, offers = None, None
-        for low, high in reversed(list(zip(bounds, bounds[1:]))):
-            in_round = (F.col("cost") >= low) & (F.col("cost") < high)
-            own = state.filter(in_round)
-            if offers is None:
-                gained = own.withColumn("dependency", F.lit(0.0))
-            else:
-                share = offers.filter(in_round).groupBy("source", "node", "cost").agg(
+        spark = state.sparkSession
+        offers = scratch_path(spark, "offers")
+        edges = F.array(*[F.lit(bound) for bound in bounds]).cast("array<long>")
+        round_of = F.size(F.filter(edges, lambda bound: bound <= F.col("cost"))) - 1
+        schema = "source long, node long, cost long, share double"
+        taken_in = None
+        for number in reversed(range(len(bounds) - 1)):
+            low, high = bounds[number : number + 2]
+            own = state.filter((F.col("cost") >= low) & (F.col("cost") < high))
+            mine = f"{offers}/round={number}"
+            if path_exists(spark, mine):
+                share = spark.read.schema(schema).parquet(mine).groupBy("source", "node", "cost").agg(
                     F.sum("share").alias("share")
                 )
-                gained = own.join(share, ["source", "node", "cost"], "left").withColumn(
-                    "dependency", F.col("paths") * F.coalesce("share", F.lit(0.0))
-                ).drop("share")
-            gained, _ = self.tables.write(gained)
+                own = own.join(share, ["source", "node", "cost"], "left")
+            else:
+                own = own.withColumn("share", F.lit(None).cast("double"))
+            gained = own.withColumn("dependency", F.col("paths") * F.coalesce("share", F.lit(0.0)))
+            gained, _ = self.tables.write(gained.drop("share"))
             taken_in = gained if taken_in is None else taken_in.unionByName(gained)
-            if low == 0:
-                return taken_in
-            sent = (
-                self.from_state(gained)
-                .filter(F.col("step").isNotNull() & (F.col("cost") >= F.col("step")))
-                .select(
-                    "source", F.col("to").alias("node"),
-                    (F.col("cost") - F.col("step")).alias("cost"),
-                    ((1.0 + F.col("dependency")) / F.col("paths")).alias("share"),
+            if number:
+                (
+                    self.along(gained)
+                    .filter(F.col("cost") >= F.col("step"))
+                    .select(
+                        "source", F.col("to").alias("node"),
+                        (F.col("cost") - F.col("step")).alias("cost"),
+                        ((1.0 + F.col("dependency")) / F.col("paths")).alias("share"),
+                    )
+                    .groupBy("source", "node", "cost")
+                    .agg(F.sum("share").alias("share"))
+                    .withColumn("round", round_of)
+                    .write.mode("append").partitionBy("round").parquet(offers)
                 )
-                .groupBy("source", "node", "cost")
-                .agg(F.sum("share").alias("share"))
-            )
-            sent, _ = self.tables.write(sent)
-            offers = sent if offers is None else offers.unionByName(sent)
+            remove_path(spark, mine)
+        remove_path(spark, offers)
         return taken_in
 
 
@@ -125,14 +130,15 @@ def betweenness(
 
     With ``weighted`` the tie strength is the cost of an edge, so a strong tie is
     a long way; otherwise every edge costs the same. All vertices are sources.
+    Weights must be whole thousandths, as those of derived ties are.
     ``batch_rows`` bounds the rows (sources times vertices) walked at a time.
     """
     tables = RoundTables(graph.vertices.sparkSession, "betweenness")
     if not graph.edge_count:
         return graph.vertices.select("id", F.lit(0.0).alias("score"))
     walk = _Walk(graph, weighted, tables)
-    if walk.least <= 0:
-        raise ValueError("edge costs must be positive")
+    if walk.least <= 0 or walk.inexact:
+        raise ValueError("edge costs must be positive whole thousandths")
     total, batches = None, max(1, -(-walk.count * walk.count // batch_rows))
     for batch in range(batches):
         sources = walk.names.filter(F.pmod("node", F.lit(batches)) == batch)
@@ -148,7 +154,7 @@ def betweenness(
                 F.sum("dependency").alias("dependency")
             )
         total, _ = tables.write(passed)
-        tables.finish(total, walk.edges)
+        tables.finish(total, walk.kept, walk.names)
     scored = walk.names.join(total, "node", "left").select("id", "dependency")
     return (
         graph.vertices.select("id")
