@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -92,16 +93,22 @@ def best_cut(totals: np.ndarray, toxic: np.ndarray) -> float:
     return float(middles[wrong.argmin()])
 
 
-def sparse(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, features and values of the sample."""
-    rows, places, values = [], [], []
-    for row, text in enumerate(texts):
+def sparse(texts: list[str], toxic: np.ndarray):
+    """Rows, features and values of the sample, and in how many texts that are toxic and
+    that are not each feature is; in arrays of small numbers, as lists of them would
+    take several times the memory."""
+    counts, places, values = array("i"), array("i"), array("f")
+    in_bad, in_good = np.zeros(FEATURES, np.int32), np.zeros(FEATURES, np.int32)
+    for text, bad in zip(texts, toxic > 0, strict=True):
+        before = len(places)
         for word, n in words_of(text).items():
             made = features_of(word)
-            rows += [row] * len(made)
-            places += made
-            values += [emphasis(n)] * len(made)
-    return np.array(rows, np.int64), np.array(places, np.int64), np.array(values)
+            places.extend(made)
+            values.extend([emphasis(n)] * len(made))
+        counts.append(len(places) - before)
+        (in_bad if bad else in_good)[np.unique(places[before:])] += 1
+    rows = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
+    return rows, np.frombuffer(places, np.int32), np.frombuffer(values, np.float32), in_bad, in_good
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
@@ -116,15 +123,10 @@ def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
         odds = (n_toxic + 1) / (len(texts) - n_toxic + 1)
         thresholds = -np.log(odds) + np.arange(len(GRADES))
         return Ordinal(np.zeros(FEATURES), thresholds, -np.inf if n_toxic else np.inf)
-    rows, places, values = sparse(texts)
-    pairs = np.unique(rows * FEATURES + places)
-    row, place = pairs // FEATURES, pairs % FEATURES
-    bad = toxic[row] > 0
-    in_bad = np.bincount(place[bad], minlength=FEATURES)
-    in_good = np.bincount(place[~bad], minlength=FEATURES)
+    rows, places, values, in_bad, in_good = sparse(texts, toxic)
     n_good = len(texts) - n_toxic
     ratio = np.log((in_bad + 0.5) / (n_toxic + 1)) - np.log((in_good + 0.5) / (n_good + 1))
-    scale = np.where((in_bad + in_good >= LEAST_TEXTS) & (ratio > 1), ratio, 0)
+    scale = np.where((in_bad + in_good >= LEAST_TEXTS) & (ratio > 1), ratio, 0).astype(np.float32)
     only = (in_bad >= LEAST_TEXTS) & (in_good == 0)
     marked = [
         sum(n for word, n in words_of(text).items() if only[features_of(word)].any()) if bad_text else 0
@@ -132,7 +134,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
     ]
     grades = np.where(toxic > 0, np.maximum(1, np.searchsorted(GRADES, marked, "right")), 0)
     used = scale[places] > 0
-    rows, places, values = rows[used], places[used], values[used] * scale[places[used]]
+    rows, places, values = rows[used], places[used], values[used].astype(float) * scale[places[used]]
     known, places = np.unique(places, return_inverse=True)
     weights, thresholds = np.full(len(known), 0.1), np.arange(len(GRADES)) + 1.0
     reach = grades[:, None] >= np.arange(1, len(GRADES) + 1)
