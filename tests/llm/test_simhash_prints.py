@@ -41,6 +41,18 @@ def test_edited_texts_and_equal_fingerprints(spark):
         assert by_id[k].near_next == pytest.approx(1 - bits / 128)
 
 
+def test_near_fingerprints_of_every_twentieth_document(spark):
+    base = prose(8, 600).split()
+    rows = [(k, " ".join([*base[:k], "swap", *base[k + 1 :]])) for k in range(1, 61)] + [(80, prose(9, 50)), (None, "x")]
+    made = report(frame(spark, rows)).collect()
+    values = {int(r.fingerprint, 16) for r in made}
+    for r in made:
+        mine = int(r.fingerprint, 16)
+        wanted = sum(0 < (mine ^ v).bit_count() <= 3 for v in values)
+        assert r.n_near == (wanted if r.doc_id is not None and r.doc_id % 20 == 0 else None)
+    assert any(r.n_near for r in made)
+
+
 def test_search_finds_all_within_the_radius(spark):
     draw = random.Random(2)
     values = [draw.getrandbits(128) for _ in range(40)]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tieweave.llm.tables import documents, table
+from tieweave.session import RoundTables
 
 #: Separators of words, for terms.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -138,9 +139,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     )
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, radius: int = 3, every: int = 20) -> DataFrame:
     """Fingerprints of every text and of its edited form, and how alike they are.
 
+    ``n_near`` is the number of other fingerprints within ``radius`` bits among those of
+    all texts, for the documents whose id is divisible by ``every``, and null for others.
+
     The edited form has the last half of a text replaced by the beginning of the next
     document's, as long as that half or all of it; a lone document is its own next.
     Null texts are empty; a text without words has the fingerprint zero. Rows of one
@@ -177,10 +181,19 @@ def report(docs: DataFrame) -> DataFrame:
     def near(kind: int) -> Column:
         return likeness(*[F.col(f"{part}_{k}") for k in (0, kind) for part in ("high", "low")])
 
-    return whole.select(
+    made, _ = RoundTables(docs.sparkSession, "prints").write(whole.select(
         "doc_id", "n_chars", "edited_sha256", shown(0).alias("fingerprint"),
         shown(1).alias("edited_fingerprint"), near(1).alias("near_edited"), near(2).alias("near_next"),
+        F.col("high_0").alias("high"), F.col("low_0").alias("low"),
+    ))
+    asked = F.coalesce(F.col("doc_id").cast("long") % every == 0, F.lit(False))
+    found = (
+        search(made.filter(asked), made, radius).filter("bits > 0")
+        .groupBy(F.col("query_high").alias("high"), F.col("query_low").alias("low"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    n_near = F.when(asked, F.coalesce("n", F.lit(0).cast("long"))).alias("n_near")
+    return made.join(found, ["high", "low"], "left").select(*made.drop("high", "low").columns, n_near)
 
 
 def block_tables(prints: DataFrame, radius: int) -> DataFrame:
