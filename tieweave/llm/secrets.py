@@ -115,6 +115,8 @@ def matched(docs: DataFrame) -> DataFrame:
         *ROW, "kind", "place", "match", F.get("gaps", F.col("place")).alias("gap"),
         F.get("value_of", F.col("place")).alias("value"),
     ).dropDuplicates([*ROW, "kind", "place"])
+    # Few rows that take long to judge: they are dealt to as many tasks as there may be.
+    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *ROW)
     until = Window.partitionBy(*ROW, "kind").orderBy("place")
     end = F.sum(F.col("gap") + F.length("match")).over(until).cast("int")
     return rows.select(
@@ -124,7 +126,6 @@ def matched(docs: DataFrame) -> DataFrame:
 
 def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, kind, start, end) of all secrets; kinds by their number."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = F.col("kind").isin(1, 2) | ((F.col("kind") == 0) & (F.length("value") >= LEAST_VALUE))
     allowed = F.lit(False)
     for pattern in ALLOWED:
@@ -132,9 +133,8 @@ def spans(docs: DataFrame) -> DataFrame:
     candidate = (F.col("kind") == 3) & ~allowed
     bits = F.when(F.col("match").rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
     places = F.transform(F.split("match", ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    # Few rows take long here, so they are dealt to as many tasks as there may be.
     judged = (
-        matched(docs).filter(plain | candidate).repartition(parts, *ROW)
+        matched(docs).filter(plain | candidate)
         .select(
             *ROW, "kind", "start", "end", F.when(F.col("kind") == 3, bits).alias("bits"),
             F.when(F.col("kind") == 3, places).alias("places"),
