@@ -118,6 +118,22 @@ def test_pagerank_without_broadcast(spark, monkeypatch):
     assert large == pytest.approx(small, abs=1e-9)
 
 
+def test_a_large_state_leaves_the_edges_where_they_are(spark, monkeypatch):
+    for module in ("tieweave.graph.social", "tieweave.session"):
+        monkeypatch.setattr(f"{module}.BROADCAST_ROWS", 0)
+    names, ties = random_ties(20, 0.2, seed=9)
+    graph, users, _ = make_graph(spark, names, ties, 2000)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = graph.along_edges(users.select("id"), "id", "to", rows=10**9)
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    joined = plan.split("InMemoryRelation")[0]
+    assert "SortMergeJoin" in joined and joined.count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("rows", [1_000_000, 0])
 @pytest.mark.parametrize("block_rows", [2000, 2])
 def test_walks_match_plain_search(spark, monkeypatch, rows, block_rows):

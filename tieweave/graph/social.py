@@ -93,9 +93,17 @@ def project_graph(
         .persist()
     )
     count, ends, most = vertices.agg(F.count("id"), F.sum("degree"), F.max("degree")).first()
+    # A state too large to send is shuffled to the edges, which then must lie in as many
+    # partitions as a shuffle makes, and must be there already, or they would be
+    # shuffled too.
+    large = count > BROADCAST_ROWS
     parts = partitions_for(users.sparkSession, ends or 0)
+    if large:
+        parts = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if (most or 0) <= block_rows:
         edges = directed.repartition(parts, "src").sortWithinPartitions("src").persist()
+        if large:
+            edges.count()
         return SocialGraph(vertices, edges, None, count, ends or 0)
     hubs = vertices.filter(F.col("degree") > block_rows).select(
         "id", F.ceil(F.col("degree") / block_rows).cast("int").alias("blocks")
@@ -108,4 +116,6 @@ def project_graph(
         .sortWithinPartitions("src", "part")
         .persist()
     )
+    if large:
+        edges.count()
     return SocialGraph(vertices, edges, hubs.persist(), count, ends)
