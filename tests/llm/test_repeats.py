@@ -133,6 +133,13 @@ def test_least_grams_and_their_repeats(window, gram):
         assert least[k] == mine.min() and twice[k] == ((mine == mine.min()).sum() > 1)
 
 
+def test_stretches_without_a_shared_window_have_no_spans():
+    rows = [(1, 1, 0, prose(1, 40).encode()), (1, 2, 0, prose(2, 40).encode()), (2, 3, 5, b"short")]
+    for some in (rows, rows[:1], rows[2:], []):
+        assert list(suffix_repeats.spans_of(some, 100)) == []
+        assert list(relative_parsing.spans_of(some, 50)) == []
+
+
 def test_slices_of_a_long_text_change_nothing(monkeypatch):
     monkeypatch.setattr(stretches, "SLICE", 150)
     rule = suffix_repeats.byte_rule()

@@ -133,8 +133,8 @@ def maximal_repeats(found: SuffixArray, length: int) -> Iterator[tuple[int, int,
         top[3] += node[3]
 
     prefixes = [*found.prefix.tolist()[1:], 0]
-    for index, common in enumerate(prefixes):
-        node = [0, index, lefts[index], 1, None]
+    for index, (common, left) in enumerate(zip(prefixes, lefts, strict=False)):
+        node = [0, index, left, 1, None]
         while stack and stack[-1][0] > common:
             top = stack.pop()
             join(top, node)
