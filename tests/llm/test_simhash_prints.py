@@ -6,7 +6,7 @@ import random
 import pytest
 
 from tests.llm.cases import frame, odd_rows, prose
-from tieweave.llm.simhash_prints import report, search
+from tieweave.llm.simhash_prints import RADIUS, neighbours, report, search
 
 
 def edited_by_hand(rows):
@@ -81,3 +81,50 @@ def test_one_document_and_none(spark):
     assert lone.edited_sha256 == hashlib.sha256(b"ab ab").hexdigest()
     assert lone.near_next == 1
     assert report(frame(spark, [])).collect() == []
+
+
+def test_copies_and_edited_texts_are_neighbours(spark):
+    words = prose(21, 120).split()
+    edited = [*words[:40], "other", *words[41:80], "swap", *words[81:]]
+    far = prose(22, 120)
+    rows = [(20, " ".join(words)), (21, " ".join(words)), (22, " ".join(edited)), (23, " ".join(words[:112])), (40, far), (41, prose(23, 80))]
+    made = neighbours(frame(spark, rows)).collect()
+    shown = {r.doc_id: r.fingerprint for r in made}
+    members = {f: sorted(k for k, v in shown.items() if v == f) for f in shown.values()}
+    values = {f: int(f, 16) for f in members}
+    for doc_id in (20, 40):
+        own = shown[doc_id]
+        wanted = {}
+        for f, value in values.items():
+            bits = (value ^ values[own]).bit_count()
+            if bits <= RADIUS and (bits or len(members[f]) > 1):
+                wanted[f] = (bits, len(members[f]))
+        got = {r.neighbour: (r.bits, r.neighbour_docs) for r in made if r.doc_id == doc_id and r.neighbour}
+        assert got == wanted
+    found = {d for r in made if r.doc_id == 20 for d in members[r.neighbour]}
+    assert {20, 21, 22} <= found and 40 not in found
+    assert (shown[20] != shown[22]) and max(r.bits for r in made if r.doc_id == 20) > 3
+    by_id = {r.doc_id: r for r in made}
+    assert by_id[20].n_near_docs == len(found) - 1 and by_id[40].n_near_docs == 0
+    assert by_id[21].neighbour is None and by_id[21].n_near is None
+
+
+def test_search_finds_all_within_wider_radii(spark):
+    draw = random.Random(5)
+    values = [draw.getrandbits(128) for _ in range(12)]
+    for value in list(values):
+        for flips in (6, 7, 8, 10, 11, 17, 19, 20, 21):
+            values.append(value ^ sum(1 << b for b in draw.sample(range(128), flips)))
+        values.append(value ^ (1 << 20) - 1)
+
+    def rows(chosen):
+        pairs = [tuple(p - (1 << 64) if p >> 63 else p for p in (v >> 64, v & (1 << 64) - 1)) for v in chosen]
+        return spark.createDataFrame(pairs, "high long, low long")
+
+    for radius in (7, 10, RADIUS):
+        wanted = sorted((q, v, (q ^ v).bit_count()) for q in values[::3] for v in values if (q ^ v).bit_count() <= radius)
+        found = sorted(
+            ((r.query_high % 2**64) << 64 | r.query_low % 2**64, (r.high % 2**64) << 64 | r.low % 2**64, r.bits)
+            for r in search(rows(values[::3]), rows(values), radius).collect()
+        )
+        assert found == wanted
