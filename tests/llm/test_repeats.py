@@ -154,3 +154,28 @@ def test_slices_of_a_long_text_change_nothing(monkeypatch):
 def test_empty_tables(spark):
     empty = frame(spark, [])
     assert suffix_repeats.report(empty).collect() == relative_parsing.report(empty).collect() == []
+
+
+@pytest.mark.parametrize("module,limit", [(suffix_repeats, 100), (relative_parsing, 50)])
+def test_a_passage_below_the_window_in_all_documents_stays_out_of_one_task(spark, monkeypatch, module, limit):
+    """Stretches that differ around a shared passage must not meet in one call."""
+    near = prose(41, 45)
+    common = near.encode()[:95].decode() if module is suffix_repeats else near
+    rows = [(k, f"{prose(1000 + k, 30)} {common} {prose(2000 + k, 30)}") for k in range(60)]
+    rows += [(100 + k, rows[k][1]) for k in range(0, 60, 7)]
+    log = spark.sparkContext.accumulator(0)
+    method = module.spans_of
+
+    def watched(pieces, *args, **named):
+        counts = {}
+        for key, *_ in pieces:
+            counts[key] = counts.get(key, 0) + 1
+        log.add(sum(n > 10 for n in counts.values()))
+        return method(pieces, *args, **named)
+
+    monkeypatch.setattr(module, "spans_of", watched)
+    monkeypatch.setattr(module, "repeated_spans", lambda d, r, m: stretches.repeated_spans(d, r, m, 10))
+    made = module.report(frame(spark, rows), limit).drop("spans", "kept").collect()
+    by_hand = bytes_by_hand if module is suffix_repeats else words_by_hand
+    assert sorted(str(tuple(r)) for r in made) == by_hand(rows, limit)
+    assert log.value == 0

@@ -12,6 +12,8 @@ wherever they are. Neighbouring windows mostly share their key; such a run is a
 2. Where stretches of one key differ in content, as at the edges of copies, the texts
    of the first ones are fetched and given to the method of the operator, which finds
    the repeats within them exactly.
+3. A key with too many different stretches for one task goes to no method: each of its
+   windows is a stretch of its own, under a key made of its content, and 1. settles it.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from tieweave.session import RoundTables, sent_whole
 
 #: Symbols that are hashed at once.
 SLICE = 1 << 19
-#: A key with more different stretches is divided by further grams of its windows.
+#: A key with more different stretches has its windows settled one by one.
 HOT_PIECES = 1_000
 #: Rows that a task resolves, and pieces whose keys it hands to the method, at once.
 ROWS, PIECES = 1 << 18, 1 << 14
@@ -323,46 +325,85 @@ def resolved(rows: DataFrame, rule: Repeat) -> DataFrame:
 PIECE = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "doc", "start")]).add("piece", T.BinaryType())
 
 
-def pieces(docs: DataFrame, wanted: DataFrame, rule: Repeat, hot_pieces: int) -> DataFrame:
-    """The texts (key, doc, start, piece) of the wanted stretches.
-
-    Windows of a hot key are divided by three more least grams, each by a hash of its
-    own: equal windows still meet, and others that only share a common line part.
-    """
-    sizes = wanted.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_pieces)
+def asked_of(docs: DataFrame, wanted: DataFrame, rule: Repeat, hot_pieces: int) -> tuple[DataFrame, bool]:
+    """(doc, text, wanted) for the documents of the wanted stretches, each with whether
+    its key is hot, and whether any is: it has more stretches than ``hot_pieces``, or as
+    many windows as so many long ones."""
+    sizes = wanted.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("windows"))
+    sizes = sizes.filter((F.col("n") > hot_pieces) | (F.col("windows") > hot_pieces * 4 * rule.window))
     sizes = sizes.select("key", F.lit(True).alias("hot"))
-    marked = wanted.join(sent_whole(sizes, sizes.count()), "key", "left")
+    hot = sizes.count()
+    marked = wanted.join(sent_whole(sizes, hot), "key", "left")
     by_doc = marked.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "size", "hot")).alias("wanted"))
     both = docs.join(by_doc, "doc").select("doc", F.col("text").cast("binary").alias("text"), "wanted")
+    return both, hot > 0
+
 
-    def divided(symbols: np.ndarray, key: int, start: int, size: int) -> Iterator[tuple[int, int, int]]:
-        part = symbols[start : start + size + rule.window - 1]
-        whole = np.full(size, key).astype(np.int64).view(np.uint64)
-        for seed in _SEEDS[1:]:
-            whole = mixed(whole * np.uint64(_BASE) + least_grams(part, rule.window, rule.gram, seed)[0])
-        first, n = _runs(np.concatenate([[True], whole[1:] != whole[:-1]]))
-        keys = whole.view(np.int64)[first]
-        yield from zip(keys.tolist(), (start + first).tolist(), n.tolist(), strict=True)
+def pieces(asked: DataFrame, rule: Repeat) -> DataFrame:
+    """The texts (key, doc, start, piece) of the stretches whose key is not hot."""
 
     def run(batches):
         for batch in batches:
             out: list[tuple] = []
             for doc, text, wants in zip(batch["doc"].to_pylist(), batch["text"], batch["wanted"].to_pylist(), strict=True):
-                text = text.as_buffer().to_pybytes()
-                cut, symbols = rule.cut(text), None
+                cut = None
                 for want in wants:
-                    whole = [(want["key"], want["start"], want["size"])]
-                    if want["hot"]:
-                        symbols = rule.symbols(text) if symbols is None else symbols
-                        whole = divided(symbols, *whole[0])
-                    out += [(k, doc, s, cut(s, s + n + rule.window - 1)) for k, s, n in whole]
+                    if not want["hot"]:
+                        cut = cut or rule.cut(text.as_buffer().to_pybytes())
+                        first, n = want["start"], want["size"]
+                        out.append((want["key"], doc, first, cut(first, first + n + rule.window - 1)))
                 if len(out) > PIECES:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=PIECE.names)
                     out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], names=PIECE.names)
 
-    return both.mapInArrow(run, PIECE)
+    return asked.mapInArrow(run, PIECE)
+
+
+def hot_windows(asked: DataFrame, rule: Repeat) -> DataFrame:
+    """Every window of the stretches with hot keys as a stretch, settled some at a time.
+
+    The key is the old key with one hash of the window, the content another: equal
+    windows meet, and no key has others.
+    """
+
+    def run(batches):
+        held: list[list[np.ndarray]] = []
+        n = 0
+
+        def made():
+            rows, (doc, start, end) = settle(*(np.concatenate(x) for x in zip(*held, strict=True)), rule)
+            zero = np.zeros(len(doc), np.int64)
+            columns = [
+                np.concatenate([rows[0].view(np.int64), mixed(doc.view(np.uint64)).view(np.int64)]),
+                np.concatenate([rows[1].view(np.int64), zero]), np.concatenate([rows[2], doc]),
+                np.concatenate([rows[3], start]), np.concatenate([rows[4], end - start]),
+            ]
+            flags = pa.array(np.arange(len(columns[0])) >= len(rows[0]))
+            return pa.RecordBatch.from_arrays([*map(_signed, columns), flags], names=STRETCH.names)
+
+        for batch in batches:
+            for doc, text, wants in zip(batch["doc"].to_pylist(), batch["text"], batch["wanted"].to_pylist(), strict=True):
+                symbols = None
+                for want in wants:
+                    if not want["hot"]:
+                        continue
+                    symbols = rule.symbols(text.as_buffer().to_pybytes()) if symbols is None else symbols
+                    part = symbols[want["start"] : want["start"] + want["size"] + rule.window - 1]
+                    at = np.arange(want["size"])
+                    old = np.full(len(at), want["key"]).astype(np.int64).view(np.uint64)
+                    key = mixed(old * np.uint64(_BASE) + content(running(part), at, at + rule.window))
+                    same = content(running(mixed(part, _SEEDS[2])), at, at + rule.window)
+                    held.append([key, same, np.full(len(at), doc), want["start"] + at, np.ones(len(at), np.int64)])
+                    n += len(at)
+                    if n >= ROWS:
+                        yield made()
+                        held, n = [], 0
+        if held:
+            yield made()
+
+    return asked.mapInArrow(run, STRETCH)
 
 
 Method = Callable[[list[tuple[int, int, int, bytes]]], Iterator[tuple[int, int, int]]]
@@ -421,14 +462,19 @@ def repeated_spans(docs: DataFrame, rule: Repeat, method: Method, hot_pieces: in
     occur earlier; spans of one document may overlap."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = all_stretches(docs, rule).repartition(parts, "key")
-    dealt = dealt.sortWithinPartitions("key", "content", "doc", "start")
-    found, _ = RoundTables(spark, "stretches").write(resolved(dealt, rule))
-    ends = F.col("start") + F.col("size")
-    settled = found.filter("span").select("doc", "start", ends.alias("end"))
-    texts = pieces(docs, found.filter("NOT span").drop("span"), rule, hot_pieces)
-    texts = texts.repartition(parts, "key").sortWithinPartitions("key", "doc", "start")
-    return settled.union(by_key(texts, method))
+
+    def met(rows: DataFrame) -> DataFrame:
+        dealt = rows.repartition(parts, "key").sortWithinPartitions("key", "content", "doc", "start")
+        return resolved(dealt, rule)
+
+    def spans(rows: DataFrame) -> DataFrame:
+        return rows.filter("span").select("doc", "start", (F.col("start") + F.col("size")).alias("end"))
+
+    found, _ = RoundTables(spark, "stretches").write(met(all_stretches(docs, rule)))
+    asked, hot = asked_of(docs, found.filter("NOT span").drop("span"), rule, hot_pieces)
+    texts = pieces(asked, rule).repartition(parts, "key").sortWithinPartitions("key", "doc", "start")
+    all_spans = spans(found).union(by_key(texts, method))
+    return all_spans.union(spans(met(hot_windows(asked, rule)))) if hot else all_spans
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, numbers: DataFrame | None) -> DataFrame:
