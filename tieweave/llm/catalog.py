@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from tieweave.llm import (
+    alignment,
     decontaminate,
+    mixing,
     packing,
     quality,
     relative_parsing,
     secrets,
     simhash_prints,
     simhash_trie,
+    spelling,
     suffix_repeats,
     token_counts,
     toxicity,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_secret_scans": secrets.op8_secret_scans,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_substring_dedup": relative_parsing.op10_substring_dedup,
+    "op11_source_mixing": mixing.op11_source_mixing,
+    "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 ORACLES: dict[str, str] = {
     "op1_suffix_array_dedup": suffix_repeats.OP1_SQL,

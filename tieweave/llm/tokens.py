@@ -7,6 +7,19 @@ import base64
 END_OF_TEXT = "<|endoftext|>"
 
 
+def rank_file(ranks_name: str):
+    """The encoding of a rank file without special tokens, and the bytes of its ids."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path(ranks_name), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    encoding = tiktoken.Encoding(
+        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    return encoding, sorted(ranks, key=ranks.get)
+
+
 def byte_bpe(ranks_name: str = "byte_bpe_50k.tiktoken"):
     """Encoder ``text -> ids``.
 
