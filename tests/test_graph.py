@@ -192,16 +192,33 @@ def plain_modularity(ties, label):
     return inside / m - sum((k / (2 * m)) ** 2 for k in totals.values())
 
 
+@pytest.mark.parametrize("patience", [200, 0])
 @pytest.mark.parametrize("rows, block_rows", [(1_000_000, 2000), (0, 2)])
-def test_louvain_finds_circles(spark, monkeypatch, rows, block_rows):
+def test_louvain_finds_circles(spark, monkeypatch, rows, block_rows, patience):
     monkeypatch.setattr("tieweave.session.BROADCAST_ROWS", rows)
     names, ties = circles(4, 6)
     graph, _, _ = make_graph(spark, [*names, "loner"], ties, block_rows)
-    found = {row["id"]: row["community"] for row in louvain(graph).collect()}
+    found = {row["id"]: row["community"] for row in louvain(graph, patience).collect()}
     assert found["loner"] == "loner"
     assert {name: found[name] for name in names} == {name: name[0] + "0" for name in names}
 
 
+@pytest.mark.parametrize("patience", [200, 0])
+def test_louvain_ends_where_no_community_gains_by_joining(spark, monkeypatch, patience):
+    names, ties = random_ties(40, 0.15, seed=6)
+    label = None
+    for rows in (1_000_000, 0):
+        monkeypatch.setattr("tieweave.session.BROADCAST_ROWS", rows)
+        graph, _, _ = make_graph(spark, names, ties)
+        found = {row["id"]: row["community"] for row in louvain(graph, patience).collect()}
+        assert label in (None, found)
+        label = found
+    reached = plain_modularity(ties, label)
+    for a, b in itertools.combinations(sorted(set(label.values())), 2):
+        joined = {v: a if c == b else c for v, c in label.items()}
+        assert plain_modularity(ties, joined) <= reached + 1e-12
+
+
 def label_propagation(names, near, rounds=10):
     label = {name: name for name in names}
     for _ in range(rounds):

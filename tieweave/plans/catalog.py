@@ -1,7 +1,7 @@
 """Registered graph and booking queries.
 
 Every query reads whole tables. One without SQL has no exact SQL form on whole
-tables (communities, betweenness); those are tested against brute force.
+tables (betweenness); those are tested against brute force.
 """
 
 from __future__ import annotations
@@ -430,22 +430,41 @@ def brokers(w: Workspace) -> DataFrame:
     return ask.brokers(w.between, w.usuario)
 
 
-@query()
+@query("SELECT id AS user_id, community, count(*) OVER (PARTITION BY community) AS size FROM fx_community")
 def communities(w: Workspace) -> DataFrame:
     return ask.communities_with_size(w.communities)
 
 
-@query()
+@query("""
+WITH z AS (SELECT community, count(*) AS size FROM fx_community GROUP BY community),
+s AS (SELECT community, string_agg(id, ',' ORDER BY id) AS sample_users
+      FROM (SELECT *, row_number() OVER (PARTITION BY community ORDER BY id) AS rn FROM fx_community) t
+      WHERE rn <= 10 GROUP BY community)
+SELECT z.community, z.size, s.sample_users, (SELECT count(*) FROM z) AS total_communities,
+       (SELECT count(*) FROM z WHERE size < 2) AS niches_count,
+       (SELECT CAST(coalesce(sum(size), 0) AS BIGINT) FROM z WHERE size < 2) AS niches_total_members
+FROM z JOIN s ON s.community = z.community WHERE z.size >= 2""")
 def community_summary(w: Workspace) -> DataFrame:
-    return ask.community_summary(w.communities)
+    made = ask.community_summary(w.communities)
+    return made.withColumn("sample_users", F.array_join("sample_users", ","))
 
 
-@query()
+@query("""
+WITH z AS (SELECT community, count(*) AS size FROM fx_community GROUP BY community),
+top AS (SELECT 'Grupo ' || community AS label, size, false AS is_niche,
+               CAST(row_number() OVER (ORDER BY size DESC, community) AS INT) AS rank
+        FROM z WHERE size >= 2 ORDER BY size DESC, community LIMIT 3)
+SELECT * FROM top
+UNION ALL SELECT '+' || count(*) || ' nichos', CAST(sum(size) AS BIGINT), true, 4
+FROM z WHERE size < 2 HAVING count(*) > 0""")
 def community_tiles(w: Workspace) -> DataFrame:
     return ask.community_tiles(w.communities)
 
 
-@query()
+@query("""
+WITH v AS (SELECT user_id, count(*) FILTER (WHERE ticket_tier = 'vip') AS vip, count(*) AS n FROM fx_asistio_a GROUP BY user_id)
+SELECT c.community, round(avg(CAST(v.vip AS DOUBLE) / v.n), 3) AS avg_vip_ratio, count(*) AS size
+FROM v JOIN fx_community c ON c.id = v.user_id WHERE 10 * v.vip >= 8 * v.n GROUP BY c.community""")
 def vip_subgroups(w: Workspace) -> DataFrame:
     return ask.vip_subgroups(w.asistio_a, w.communities)
 
@@ -458,7 +477,12 @@ def vip_users(w: Workspace) -> DataFrame:
     return ask.vip_shares(w.asistio_a)
 
 
-@query()
+@query("""
+SELECT a.id AS user_id, a.community, count(DISTINCT b.community) AS total_communities_touched,
+       count(DISTINCT b.community) FILTER (WHERE b.community <> a.community) AS external_communities_touched
+FROM fx_edges g JOIN fx_community a ON a.id = g.src JOIN fx_community b ON b.id = g.dst
+GROUP BY a.id, a.community
+ORDER BY external_communities_touched DESC, total_communities_touched DESC, user_id LIMIT 20""")
 def multi_community_users(w: Workspace) -> DataFrame:
     return ask.multi_community_users(w.graph, w.communities)
 

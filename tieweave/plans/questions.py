@@ -543,10 +543,15 @@ def vip_subgroups(attendance: DataFrame, communities: DataFrame, least: float =
 def multi_community_users(
     graph: SocialGraph, communities: DataFrame, limit: int | None = TOP
 ) -> DataFrame:
-    """Communities among a user's neighbours, in total and other than the own."""
-    near = communities.select(F.col("id").alias("dst"), F.col("community").alias("touched"))
+    """Communities among a user's neighbours, in total and other than the own.
+
+    Communities travel along the edges, which stay where they are.
+    """
+    sent = graph.along_edges(
+        communities.select("id", "community"), "to", F.col("community").alias("touched"), rows=graph.vertex_count
+    )
     touched = (
-        graph.edges.join(near, "dst").groupBy(F.col("src").alias("id"), "touched").count()
+        sent.groupBy(F.col("to").alias("id"), "touched").count()
         .join(communities, "id")
         .groupBy("id", "community")
         .agg(

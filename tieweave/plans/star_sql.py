@@ -47,6 +47,42 @@ LEFT JOIN (SELECT a.user_id AS user_1, b.user_id AS user_2, count(*) AS shared_r
     "fx_edges": """
 SELECT user_1 AS src, user_2 AS dst, tie_strength AS weight FROM fx_conoce_a
 UNION ALL SELECT user_2, user_1, tie_strength FROM fx_conoce_a""",
+    "fx_community": """
+WITH RECURSIVE
+l AS MATERIALIZED (SELECT id, CAST('0x' || substr(md5(id), 1, 15) AS BIGINT) AS u FROM fx_usuario
+                   WHERE id IN (SELECT src FROM fx_edges)),
+e AS MATERIALIZED (SELECT a.u AS src, b.u AS dst FROM fx_edges g JOIN l a ON a.id = g.src JOIN l b ON b.id = g.dst),
+d AS MATERIALIZED (SELECT src AS u, count(*) AS k FROM e GROUP BY src),
+run(step, u, x, c, look, turn, whole, calm, moved) AS (
+  SELECT 0, u, u, u, true, 1, true, false, false FROM l
+  UNION ALL
+  SELECT n.* FROM (
+    WITH v AS (SELECT x, any_value(c) AS c, CAST(sum(k) AS BIGINT) AS k, any_value(turn) AS turn
+               FROM run JOIN d ON d.u = run.u GROUP BY x),
+    t AS (SELECT c, CAST(sum(k) AS BIGINT) AS total, count(*) AS size FROM v GROUP BY c),
+    p AS (SELECT a.x, b.c AS target, count(*) AS links
+          FROM e JOIN run a ON a.u = e.src JOIN run b ON b.u = e.dst WHERE a.look AND a.x <> b.x GROUP BY a.x, b.c),
+    o AS (SELECT v.x, p.target, p.target = v.c AS own, -v.k * (o.total - v.k) AS alone, v.turn,
+                 p.links * (SELECT count(*) FROM e) - v.k * (f.total - CASE WHEN p.target = v.c THEN v.k ELSE 0 END) AS gain,
+                 p.target = v.c OR f.size > 1 OR o.size > 1 OR p.target < v.c AS allowed
+          FROM p JOIN v ON v.x = p.x JOIN t f ON f.c = p.target JOIN t o ON o.c = v.c),
+    w AS (SELECT x, first(target ORDER BY gain DESC, target) FILTER (WHERE allowed) AS target,
+                 ((x >> CAST((any_value(turn) // 2) % 60 AS BIGINT)) & 1) = any_value(turn) % 2 AS goes
+          FROM o GROUP BY x
+          HAVING max(gain) FILTER (WHERE allowed) > coalesce(max(gain) FILTER (WHERE own), any_value(alone))),
+    g AS (SELECT (SELECT count(*) FROM w) AS wishes, (SELECT count(*) FROM w WHERE goes) AS moves, (SELECT count(*) FROM v) AS n),
+    near AS (SELECT DISTINCT a.x FROM e JOIN run a ON a.u = e.src JOIN run b ON b.u = e.dst JOIN w ON w.x = b.x AND w.goes),
+    s AS (SELECT r.*, CASE WHEN w.goes THEN w.target ELSE r.c END AS c2, w.x IS NOT NULL OR near.x IS NOT NULL AS look2,
+                 r.moved OR g.moves > 0 AS moved2, g.moves * 50 <= g.n AS calm2, g.wishes = 0 AND r.whole AS settled
+          FROM run r CROSS JOIN g LEFT JOIN w ON w.x = r.x LEFT JOIN near ON near.x = r.x),
+    z AS (SELECT *, settled OR (calm AND calm2 AND moved2) AS over, bool_or(look2) OVER () AS any_look FROM s)
+    SELECT step + 1 AS step, u, CASE WHEN over THEN c2 ELSE x END AS x, c2 AS c, over OR look2 OR NOT any_look AS look,
+           CASE WHEN over THEN 1 ELSE turn + 1 END AS turn, over OR NOT any_look AS whole, NOT over AND calm2 AS calm,
+           NOT over AND moved2 AS moved
+    FROM z WHERE NOT over OR moved2) n)
+SELECT l.id, min(l.id) OVER (PARTITION BY run.c) AS community
+FROM run JOIN l ON l.u = run.u WHERE step = (SELECT max(step) FROM run)
+UNION ALL SELECT id, id FROM fx_usuario WHERE id NOT IN (SELECT id FROM l)""",
     "fx_changelog": """
 SELECT event_id AS uuid, 'core.users' AS table_name, user_id AS pk_id,
        CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'u' END AS op,
