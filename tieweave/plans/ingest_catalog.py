@@ -814,15 +814,15 @@ def batch_log(w: Workspace) -> DataFrame:
 UNION ALL SELECT CASE WHEN uuid % 2 = 0 THEN '' END, pk_id FROM fx_changelog WHERE uuid % 5 = 0
 UNION ALL SELECT CASE WHEN uuid % 2 = 0 THEN '' END, pk_id FROM fx_changelog WHERE uuid % 5 = 0""")
 def uuid_dedupe_bounded(w: Workspace) -> DataFrame:
-    """Two deliveries of every envelope in one stream: once each, but for the fifth
-    without an id, which all pass."""
+    """Two deliveries of every envelope in one stream of several batches, whose events
+    span months: once each, but for the fifth without an id, which all pass."""
     folder, target = scratch_path(w.spark, "envelopes"), scratch_path(w.spark, "deduped")
     number = F.col("uuid").cast("bigint")
     none = F.when(number % 2 == 0, F.lit(""))
-    envelopes(w).withColumn("uuid", F.when(number % 5 == 0, none).otherwise(F.col("uuid"))).write.json(folder)
-    source = stream.scan_envelope_stream(w.spark, folder)
-    twice = source.unionByName(stream.scan_envelope_stream(w.spark, folder))
-    flat = stream.uuid_dedupe_bounded(twice, "400 days").select(
+    envelopes(w).withColumn("uuid", F.when(number % 5 == 0, none).otherwise(F.col("uuid"))).repartition(3).write.json(folder)
+    source = stream.scan_envelope_stream(w.spark, folder, max_files=1)
+    twice = source.unionByName(stream.scan_envelope_stream(w.spark, folder, max_files=2))
+    flat = stream.uuid_dedupe_bounded(twice).select(
         "uuid", F.try_element_at("payload", F.lit("id")).cast("bigint").alias("id")
     )
     (
