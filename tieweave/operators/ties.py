@@ -84,15 +84,14 @@ def conoce_a(
     return _fold_pairs(pairs)
 
 
-def conoce_a_incremental(
-    ties: DataFrame,
+def touched_ties(
     touched: DataFrame,
     attendance: DataFrame,
     events: DataFrame,
     reservations: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Ties after a change, recomputing only pairs with a touched user.
+    """The ties of every pair with a touched user.
 
     ``touched`` holds the ``user_id`` of every user whose bookings changed. Only
     the groups such a user is in are paired, touched members against all.
@@ -117,11 +116,25 @@ def conoce_a_incremental(
         .withColumn("user_1", F.least("user_id_1", "user_id_2"))
         .withColumn("user_2", F.greatest("user_id_1", "user_id_2"))
     )
+    return _fold_pairs(pairs)
+
+
+def conoce_a_incremental(
+    ties: DataFrame,
+    touched: DataFrame,
+    attendance: DataFrame,
+    events: DataFrame,
+    reservations: DataFrame | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Ties after a change, recomputing only pairs with a touched user."""
+    touched = touched.select("user_id").distinct()
     end = lambda name: touched.select(F.col("user_id").alias(name))
     untouched = ties.join(end("user_1"), "user_1", "left_anti").join(
         end("user_2"), "user_2", "left_anti"
     )
-    return untouched.unionByName(_fold_pairs(pairs).select(*untouched.columns))
+    made = touched_ties(touched, attendance, events, reservations, block_rows)
+    return untouched.unionByName(made.select(*untouched.columns))
 
 
 def pair_counts(edges: DataFrame, event_dates: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -885,7 +885,7 @@ def _stored(store: batch_job.GraphStore, names: tuple[str, ...]) -> DataFrame:
     for name in names:
         table = store.table(name)
         strength = F.col("tie_strength") if name == batch_job.TIES else F.lit(0.0)
-        rows = table.current().select(
+        rows = store.current(name).select(
             F.lit(name).alias("part"), F.concat_ws("|", *table.keys).alias("key"), strength.alias("strength")
         )
         made = rows if made is None else made.unionByName(rows)
@@ -906,3 +906,93 @@ def etl_job_seed(w: Workspace) -> DataFrame:
     for _ in range(2):
         batch_job.etl_job_seed(store, folder)
     return _stored(store, ("usuarios", "eventos", "mesas", "asistio_a", "reservo", "conoce_a"))
+
+
+FEED_ROWS_SQL = """
+WITH u AS (SELECT 'v2:' || CAST(c_custkey AS STRING) AS id, c_name AS name FROM customer WHERE c_acctbal >= 0),
+e AS (SELECT 'v2:' || CAST(p_partkey AS STRING) AS id,
+             DATE '2024-01-01' + CAST(p_partkey % 365 AS INT) + CASE WHEN p_size > 40 THEN 1 ELSE 0 END AS event_date FROM part),
+a AS (SELECT u.id AS user_id, e.id AS event_id, bool_or(t.unit_price >= 50000) AS vip, any_value(e.event_date) AS event_date
+      FROM fx_tickets t JOIN u ON u.id = 'v2:' || CAST(t.user_id AS STRING)
+           JOIN e ON e.id = 'v2:' || CAST(t.type_ticket_id AS STRING)
+      WHERE t.ticket_state_id <> 3 GROUP BY u.id, e.id),
+r AS (SELECT DISTINCT u.id AS user_id, 'v2:' || CAST(table_id AS STRING) AS table_id, 'v2:' || CAST(event_id AS STRING) AS event_id
+      FROM fx_reservations b JOIN u ON u.id = 'v2:' || CAST(b.user_id AS STRING)),
+rp AS (SELECT x.user_id AS user_1, y.user_id AS user_2, count(*) AS n
+       FROM r x JOIN r y ON x.event_id = y.event_id AND x.user_id < y.user_id GROUP BY 1, 2),
+ap AS (SELECT x.user_id AS user_1, y.user_id AS user_2, count(*) AS n, min(x.event_date) AS first,
+              sum(CASE WHEN x.vip AND y.vip THEN 1 ELSE 0 END) AS v
+       FROM a x JOIN a y ON x.event_id = y.event_id AND x.user_id < y.user_id GROUP BY 1, 2)
+SELECT 'usuarios' AS part, id || '|' || name AS key, 0E0 AS strength FROM u
+UNION ALL SELECT 'eventos', id || '|' || CAST(event_date AS STRING), 0E0 FROM e
+UNION ALL SELECT 'asistio_a', user_id || '|' || event_id || '|' || CASE WHEN vip THEN 'vip' ELSE 'general' END, 0E0 FROM a
+UNION ALL SELECT 'reservo', user_id || '|' || table_id || '|' || event_id, 0E0 FROM r
+UNION ALL SELECT 'conoce_a', ap.user_1 || '|' || ap.user_2 || '|' || CAST(first AS STRING),
+       round(ap.n + ap.v * 0.5E0 + coalesce(rp.n, 0) * 0.75E0, 3)
+FROM ap LEFT JOIN rp ON rp.user_1 = ap.user_1 AND rp.user_2 = ap.user_2"""
+
+
+def _feeds(w: Workspace) -> list[dict[str, DataFrame]]:
+    """All tables as change files, then a second delivery: late old versions of all users,
+    those in debt and cancelled tickets deleted, long events moved by a day."""
+    at = lambda text: F.lit(text).cast("timestamp").alias("_dms_timestamp")
+    kind = lambda name: F.lit(name).alias("Op")
+    customer, part = w.table("customer"), w.table("part")
+    user = lambda name, op, time: customer.select(
+        kind(op), F.col("c_custkey").alias("id"), name.alias("username"), at(time)
+    )
+    date = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 365).cast("int"))
+    event = lambda moved, op, time: part.select(
+        kind(op), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+        F.date_add(date, moved).alias("event_date"), at(time), "p_size",
+    )
+    ticket = w.tickets.select(
+        kind("I"), F.col("ticket_id").alias("id"), "user_id", F.col("type_ticket_id").alias("event_id"),
+        F.when(F.col("unit_price") >= 50000, "vip").otherwise("general").alias("tier"), at("2024-01-01"), "ticket_state_id",
+    )
+    cancelled = ticket.filter("ticket_state_id = 3").select(
+        kind("D"), "id", *[F.lit(None).cast(ticket.schema[name].dataType).alias(name) for name in ("user_id", "event_id", "tier")],
+        at("2024-02-01"),
+    )
+    first = {
+        "core.users": user(F.lit("before"), "I", "2024-01-01").unionByName(user(F.col("c_name"), "U", "2024-01-02")),
+        "core.events": event(0, "I", "2024-01-01").drop("p_size"),
+        "core.dico_tables": w.table("supplier").select(kind("I"), F.col("s_suppkey").alias("id"), at("2024-01-01")),
+        "transactions.tickets": ticket.drop("ticket_state_id"),
+        "transactions.reservations": w.reservations.select(
+            kind("I"), F.col("reservation_id").alias("id"), "user_id", "table_id", "event_id", at("2024-01-01")
+        ),
+    }
+    left = customer.filter("c_acctbal < 0").select(
+        kind("D"), F.col("c_custkey").alias("id"), F.lit(None).cast("string").alias("username"), at("2024-03-01")
+    )
+    second = {
+        "core.users": user(F.lit("late"), "U", "2023-01-01").unionByName(left),
+        "core.events": event(1, "U", "2024-02-01").filter("p_size > 40").drop("p_size"),
+        "transactions.tickets": cancelled,
+    }
+    return [first, second]
+
+
+@query(FEED_ROWS_SQL)
+def etl_job_feed(w: Workspace) -> DataFrame:
+    """Two deliveries of change files through the batch job, the second announced with
+    the first again."""
+    store = batch_job.GraphStore(w.spark, scratch_path(w.spark, "graph"))
+    announced: list[tuple[str]] = []
+    for tables in _feeds(w):
+        folder = scratch_path(w.spark, "feed")
+        for name, df in tables.items():
+            path = f"{folder}/data/{name.replace('.', '/')}/changes.parquet"
+            df.write.parquet(path)
+            announced.append((path,))
+        batch_job.etl_job_feed(store, w.spark.createDataFrame(announced, "uri string"))
+    made = _stored(store, ("reservo",))
+    more = {"usuarios": "username", "eventos": "event_date", "asistio_a": "ticket_tier", "conoce_a": "first_shared_event"}
+    for name, column in more.items():
+        strength = F.col("tie_strength") if name == batch_job.TIES else F.lit(0.0)
+        key = F.concat_ws("|", *store.table(name).keys, F.col(column).cast("string"))
+        made = made.unionByName(
+            store.current(name).select(F.lit(name).alias("part"), key.alias("key"), strength.alias("strength"))
+        )
+    return made
