@@ -83,6 +83,33 @@ run(step, u, x, c, look, turn, whole, calm, moved) AS (
 SELECT l.id, min(l.id) OVER (PARTITION BY run.c) AS community
 FROM run JOIN l ON l.u = run.u WHERE step = (SELECT max(step) FROM run)
 UNION ALL SELECT id, id FROM fx_usuario WHERE id NOT IN (SELECT id FROM l)""",
+    "fx_between": """
+WITH RECURSIVE
+n AS MATERIALIZED (SELECT src AS id, CAST(row_number() OVER (ORDER BY src) AS INT) AS v FROM (SELECT DISTINCT src FROM fx_edges)),
+e AS MATERIALIZED (SELECT a.v AS src, b.v AS dst, CAST(round(weight * 1000) AS INT) AS step
+                   FROM fx_edges g JOIN n a ON a.id = g.src JOIN n b ON b.id = g.dst),
+far(turn, s, v, cost, paths, low) AS (
+  SELECT 0, v, v, 0, 1E0, 0 FROM n
+  UNION ALL
+  SELECT g.* FROM (
+    WITH least AS (SELECT min(step) AS step FROM e),
+    met AS (SELECT f.s, e.dst AS v, f.cost + e.step AS cost, f.paths
+            FROM far f JOIN e ON e.src = f.v WHERE f.cost >= f.low AND f.cost < f.low + (SELECT step FROM least)
+            UNION ALL SELECT s, v, cost, paths FROM far),
+    summed AS (SELECT s, v, cost, sum(paths) AS paths FROM met GROUP BY s, v, cost),
+    best AS (SELECT s, v, min(cost) AS cost, arg_min(paths, cost) AS paths FROM summed GROUP BY s, v),
+    next AS (SELECT min(cost) AS low FROM best WHERE cost >= (SELECT any_value(low) FROM far) + (SELECT step FROM least))
+    SELECT (SELECT any_value(turn) FROM far) + 1, s, v, cost, paths, coalesce(next.low, -1)
+    FROM best CROSS JOIN next WHERE (SELECT any_value(low) FROM far) >= 0) g),
+state AS MATERIALIZED (SELECT s, v, cost, paths FROM far WHERE turn = (SELECT max(turn) FROM far)),
+dag AS MATERIALIZED (SELECT a.s, a.v AS u, b.v, a.paths / b.paths AS share
+                     FROM state a JOIN e ON e.src = a.v JOIN state b ON b.s = a.s AND b.v = e.dst AND b.cost = a.cost + e.step),
+back(turn, s, v, x) AS (
+  SELECT 0, s, v, 1E0 FROM state
+  UNION ALL
+  SELECT any_value(b.turn) + 1, d.s, d.u, sum(d.share * b.x) FROM back b JOIN dag d ON d.s = b.s AND d.v = b.v GROUP BY d.s, d.u),
+score AS (SELECT v, sum(x) / 2 AS score FROM back WHERE turn > 0 AND s <> v GROUP BY v)
+SELECT u.id, coalesce(score, 0) AS score FROM fx_usuario u LEFT JOIN n ON n.id = u.id LEFT JOIN score ON score.v = n.v""",
     "fx_changelog": """
 SELECT event_id AS uuid, 'core.users' AS table_name, user_id AS pk_id,
        CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'u' END AS op,
