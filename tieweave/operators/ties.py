@@ -84,21 +84,12 @@ def conoce_a(
     return _fold_pairs(pairs)
 
 
-def touched_ties(
-    touched: DataFrame,
-    attendance: DataFrame,
-    events: DataFrame,
-    reservations: DataFrame | None = None,
-    block_rows: int = BLOCK_ROWS,
+def _touched_pairs(
+    members: DataFrame, keys: list[str], touched: DataFrame, payload: tuple[str, ...], block_rows: int
 ) -> DataFrame:
-    """The ties of every pair with a touched user.
-
-    ``touched`` holds the ``user_id`` of every user whose bookings changed. Only
-    the groups such a user is in are paired, touched members against all.
-    """
-    keys = ["at_event", "event_id"]
+    """Each pair with a touched user once per group. Only the groups such a user is in are
+    paired, touched members against all."""
     touched = touched.select("user_id").distinct()
-    members = tie_members(attendance, events, reservations)
     flagged = members.join(touched.withColumn("touched", F.lit(True)), "user_id", "left")
     flagged = cut_lineage(flagged.withColumn("touched", F.coalesce("touched", F.lit(False))), "flagged")
     live_groups = flagged.filter("touched").select(*keys).distinct()
@@ -107,16 +98,28 @@ def touched_ties(
     placed = groups.placed()
     side = lambda rows, end, *more: rows.select(
         *keys, "blocks", "block", *more,
-        *[F.col(name).alias(name + end) for name in ("user_id", *MEMBER_PAYLOAD)],
+        *[F.col(name).alias(name + end) for name in ("user_id", *payload)],
     )
     once = ~F.col("touched") | (F.col("user_id_1") < F.col("user_id_2"))
-    pairs = (
+    return (
         groups.meet(side(placed.filter("touched"), "_1"), side(placed, "_2", "touched"))
         .filter((F.col("user_id_1") != F.col("user_id_2")) & once)
         .withColumn("user_1", F.least("user_id_1", "user_id_2"))
         .withColumn("user_2", F.greatest("user_id_1", "user_id_2"))
     )
-    return _fold_pairs(pairs)
+
+
+def touched_ties(
+    touched: DataFrame,
+    attendance: DataFrame,
+    events: DataFrame,
+    reservations: DataFrame | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The ties of every pair with a touched user; ``touched`` holds the ``user_id`` of
+    every user whose bookings changed."""
+    members = tie_members(attendance, events, reservations)
+    return _fold_pairs(_touched_pairs(members, ["at_event", "event_id"], touched, MEMBER_PAYLOAD, block_rows))
 
 
 def conoce_a_incremental(
@@ -152,16 +155,12 @@ def pair_counts(edges: DataFrame, event_dates: DataFrame, block_rows: int = BLOC
     )
 
 
-def social_ties(
-    purchases: DataFrame,
-    attendances: DataFrame,
-    reservations: DataFrame,
-    event_dates: DataFrame,
-    block_rows: int = BLOCK_ROWS,
+def channel_members(
+    purchases: DataFrame, attendances: DataFrame, reservations: DataFrame, event_dates: DataFrame
 ) -> DataFrame:
-    """Ties over three channels, paired in one pass and folded in one shuffle."""
+    """One row per channel, event and user, with the date of the event."""
     channel = lambda df, name: df.select(F.lit(name).alias("channel"), "event_id", "user_id")
-    members = (
+    return (
         channel(attendances, "attendance")
         .unionByName(channel(purchases, "purchase"))
         .unionByName(channel(reservations, "reservation"))
@@ -169,6 +168,9 @@ def social_ties(
         .distinct()
         .join(event_dates.select("event_id", "event_date"), "event_id", "left")
     )
+
+
+def _fold_channels(pairs: DataFrame) -> DataFrame:
     shared = lambda name: F.coalesce(
         F.sum(F.when(F.col("channel") == name, 1)), F.lit(0)
     ).cast("long")
@@ -178,8 +180,7 @@ def social_ties(
         + F.col("shared_purchases") * F.lit(TIE_PURCHASE)
     )
     return (
-        pairs_in_group(members, ["channel", "event_id"], "user_id", ("event_date",), block_rows)
-        .groupBy(F.col("user_1").alias("user_1_id"), F.col("user_2").alias("user_2_id"))
+        pairs.groupBy(F.col("user_1").alias("user_1_id"), F.col("user_2").alias("user_2_id"))
         .agg(
             shared("attendance").alias("shared_attendances"),
             shared("purchase").alias("shared_purchases"),
@@ -192,6 +193,26 @@ def social_ties(
     )
 
 
+CHANNEL_KEYS = ["channel", "event_id"]
+
+
+def social_ties(
+    purchases: DataFrame,
+    attendances: DataFrame,
+    reservations: DataFrame,
+    event_dates: DataFrame,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Ties over three channels, paired in one pass and folded in one shuffle."""
+    members = channel_members(purchases, attendances, reservations, event_dates)
+    return _fold_channels(pairs_in_group(members, CHANNEL_KEYS, "user_id", ("event_date",), block_rows))
+
+
+def touched_social_ties(members: DataFrame, touched: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Of the ties among ``channel_members`` those with a touched user."""
+    return _fold_channels(_touched_pairs(members, CHANNEL_KEYS, touched, ("event_date",), block_rows))
+
+
 def tied_endpoints(ties: DataFrame) -> DataFrame:
     """Users that have at least one tie, as ``id``."""
     return both_directions(ties).select(F.col("src").alias("id")).distinct()

@@ -15,18 +15,21 @@ from tieweave.session import cut_lineage
 
 @dataclass
 class ProjectionBundle:
-    users: DataFrame
-    events: DataFrame
-    tables: DataFrame
-    purchases: DataFrame
-    attendances: DataFrame
-    reservations: DataFrame
-    social_ties: DataFrame
-    segments: DataFrame
-    belongs: DataFrame
+    """The parts of a projection; those that were not asked for are None."""
+
+    users: DataFrame | None = None
+    events: DataFrame | None = None
+    tables: DataFrame | None = None
+    purchases: DataFrame | None = None
+    attendances: DataFrame | None = None
+    reservations: DataFrame | None = None
+    social_ties: DataFrame | None = None
+    segments: DataFrame | None = None
+    belongs: DataFrame | None = None
 
     def named(self) -> dict[str, DataFrame]:
-        return {part.name: getattr(self, part.name) for part in fields(self)}
+        parts = {part.name: getattr(self, part.name) for part in fields(self)}
+        return {name: df for name, df in parts.items() if df is not None}
 
 
 # Keys of the projected tables.
@@ -54,8 +57,28 @@ ABSENT = {
 }
 
 
-def projection_bundle(spark: SparkSession, current: dict[str, DataFrame]) -> ProjectionBundle:
-    """Nodes and edges; tables that are missing count as empty ones.
+# The source tables that each part is made of; ties come from other parts.
+PART_SOURCES = {
+    "users": {"core.users"}, "events": {"core.events"}, "tables": {"core.dico_tables"},
+    "purchases": {
+        "transactions.tickets", "core.type_tickets", "transactions.order_details", "transactions.orders",
+        "transactions.payments", "catalog.ticket_states",
+    },
+    "attendances": {"transactions.tickets", "core.type_tickets", "catalog.ticket_states"},
+    "reservations": {
+        "transactions.reservations", "core.dico_tables", "core.table_prices", "catalog.reservation_states",
+    },
+    "segments": {"core.users"}, "belongs": {"core.users"},
+}
+#: The parts that ties are made of.
+TIED_PARTS = ("purchases", "attendances", "reservations", "events")
+
+
+def projection_bundle(
+    spark: SparkSession, current: dict[str, DataFrame], wanted: set[str] | None = None
+) -> ProjectionBundle:
+    """Nodes and edges; tables that are missing count as empty ones. ``wanted`` names the
+    parts to make, all by default; ties need ``TIED_PARTS`` beside them.
 
     The three booking edges are written once, as the ties are built from them.
     Deleted events keep their date and deleted users their edges, as in the
@@ -63,32 +86,43 @@ def projection_bundle(spark: SparkSession, current: dict[str, DataFrame]) -> Pro
     """
     named = {resolve_table_name(name): df for name, df in current.items()}
     table = lambda name: named[name] if name in named else spark.createDataFrame([], ABSENT[name])
-    users = prepare.prepare_users(table("core.users"))
-    events = prepare.prepare_events(table("core.events"))
-    tables = prepare.prepare_tables(table("core.dico_tables"))
-    type_tickets = prepare.prepare_type_tickets(table("core.type_tickets"))
-    tickets = prepare.prepare_tickets(table("transactions.tickets"))
-    ticket_states = table("catalog.ticket_states")
-    purchases = cut_lineage(edges.ticket_purchase_edges(
-        tickets, type_tickets,
-        prepare.prepare_order_details(table("transactions.order_details")),
-        prepare.prepare_orders(table("transactions.orders")),
-        prepare.prepare_payments(table("transactions.payments")),
-        ticket_states,
-    ), "purchases")
-    attendances = cut_lineage(
-        edges.attendance_edges(tickets, type_tickets, ticket_states), "attendances"
-    )
-    reservations = cut_lineage(edges.reservation_edges(
-        prepare.prepare_reservations(table("transactions.reservations")), tables,
-        prepare.prepare_table_prices(table("core.table_prices")),
-        table("catalog.reservation_states"),
-    ), "reservations")
-    return ProjectionBundle(
-        users, events, tables, purchases, attendances, reservations,
-        social_ties(purchases, attendances, reservations, events),
-        edges.segment_nodes(users), edges.belongs_edges(users),
-    )
+    asked = lambda *parts: wanted is None or not wanted.isdisjoint(parts)
+    made = ProjectionBundle()
+    if asked("users", "segments", "belongs"):
+        users = prepare.prepare_users(table("core.users"))
+        made.users = users if asked("users") else None
+        made.segments = edges.segment_nodes(users) if asked("segments") else None
+        made.belongs = edges.belongs_edges(users) if asked("belongs") else None
+    if asked("events"):
+        made.events = prepare.prepare_events(table("core.events"))
+    if asked("tables", "reservations"):
+        tables = prepare.prepare_tables(table("core.dico_tables"))
+        made.tables = tables if asked("tables") else None
+    if asked("purchases", "attendances"):
+        type_tickets = prepare.prepare_type_tickets(table("core.type_tickets"))
+        tickets = prepare.prepare_tickets(table("transactions.tickets"))
+        ticket_states = table("catalog.ticket_states")
+    if asked("purchases"):
+        made.purchases = cut_lineage(edges.ticket_purchase_edges(
+            tickets, type_tickets,
+            prepare.prepare_order_details(table("transactions.order_details")),
+            prepare.prepare_orders(table("transactions.orders")),
+            prepare.prepare_payments(table("transactions.payments")),
+            ticket_states,
+        ), "purchases")
+    if asked("attendances"):
+        made.attendances = cut_lineage(
+            edges.attendance_edges(tickets, type_tickets, ticket_states), "attendances"
+        )
+    if asked("reservations"):
+        made.reservations = cut_lineage(edges.reservation_edges(
+            prepare.prepare_reservations(table("transactions.reservations")), tables,
+            prepare.prepare_table_prices(table("core.table_prices")),
+            table("catalog.reservation_states"),
+        ), "reservations")
+    if asked("social_ties"):
+        made.social_ties = social_ties(made.purchases, made.attendances, made.reservations, made.events)
+    return made
 
 
 def projection_counts(bundle: ProjectionBundle) -> DataFrame:

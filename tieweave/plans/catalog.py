@@ -16,7 +16,7 @@ from tieweave.operators.edges import belongs_edges, segment_nodes
 from tieweave.plans import questions as ask
 from tieweave.plans.bundle import PROJECTED_KEYS, projection_bundle, projection_counts
 from tieweave.plans.registry import query
-from tieweave.plans.star_sql import rounded
+from tieweave.plans.star_sql import SOCIAL_SQL, rounded
 from tieweave.plans.workspace import Workspace
 
 # The user, and the pair of users, that single-user questions are asked about.
@@ -84,21 +84,6 @@ def pair_counts(w: Workspace) -> DataFrame:
     return ties.pair_counts(w.attendances(), w.event_dates())
 
 
-SOCIAL_SQL = """
-WITH s AS (
-  SELECT a.user_id AS user_1_id, b.user_id AS user_2_id,
-         CAST(sum(CASE WHEN a.channel = 'attendance' THEN 1 ELSE 0 END) AS BIGINT) AS shared_attendances,
-         CAST(sum(CASE WHEN a.channel = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS shared_purchases,
-         CAST(sum(CASE WHEN a.channel = 'reservation' THEN 1 ELSE 0 END) AS BIGINT) AS shared_reservations,
-         min(d.event_date) AS first_shared_event, max(d.event_date) AS last_shared_event
-  FROM fx_channel_members a
-       JOIN fx_channel_members b ON a.channel = b.channel AND a.event_id = b.event_id AND a.user_id < b.user_id
-       LEFT JOIN fx_day d ON d.event_id = a.event_id
-  GROUP BY a.user_id, b.user_id)
-SELECT s.*, round(shared_attendances * 1.0E0 + shared_reservations * 0.75E0 + shared_purchases * 0.25E0, 3) AS tie_strength
-FROM s"""
-
-
 @query(SOCIAL_SQL)
 def social_ties(w: Workspace) -> DataFrame:
     return ties.social_ties(w.purchases(), w.attendances(), w.live_reservations(), w.event_dates())

@@ -6,6 +6,8 @@ table on disk is the point, written to the shared scratch folder first.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,12 @@ from tieweave.functions.columns import log_position, normalize_op
 from tieweave.operators import changes, export, merge, normalize_cdc, normalize_seed, prepare
 from tieweave.operators.edges import state_lookup
 from tieweave.plans import batch_job
+from tieweave.plans.bundle import PROJECTED_KEYS
 from tieweave.plans.registry import query
+from tieweave.plans.star_sql import SOCIAL_SQL
 from tieweave.plans.workspace import Workspace
-from tieweave.session import scratch_path
+from tieweave.schemas import SOURCE_KEYS
+from tieweave.session import cut_lineage, scratch_path
 from tieweave.sinks import keyed
 from tieweave.sinks.ledger import FileLedger
 from tieweave.sources import files
@@ -757,18 +762,89 @@ def late_change(w: Workspace) -> DataFrame:
     return state.unpacked("core.users", {"id": "bigint", "k": "bigint"})
 
 
-@query(f"SELECT id AS user_id, source_deleted FROM ({CURRENT_SQL}) c")
+PROJECTED_SQL = """
+WITH dated AS (SELECT p_partkey AS event_id,
+  CAST(DATE '2024-01-01' + CAST(p_partkey % 365 AS INT) + CASE WHEN p_size > 40 THEN 1 ELSE 0 END AS TIMESTAMP) AS event_date FROM part),
+paid AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal >= 0 AND c_mktsegment IS NOT NULL),
+c AS (""" + SOCIAL_SQL.replace("fx_day", "dated") + """)
+SELECT 'users' AS part, CAST(c_custkey AS STRING) || '-' || CASE WHEN c_acctbal < 0 THEN 'gone' ELSE 'here' END AS key, 0E0 AS value FROM customer
+UNION ALL SELECT 'events', CAST(event_id AS STRING) || '-' || substr(CAST(event_date AS STRING), 1, 10), 0E0 FROM dated
+UNION ALL SELECT 'tables', CAST(s_suppkey AS STRING), 0E0 FROM supplier
+UNION ALL SELECT 'purchases', CAST(ticket_id AS STRING) || '-' || CAST(event_id AS STRING), CAST(price_paid AS DOUBLE) FROM fx_purchases
+UNION ALL SELECT 'attendances', CAST(ticket_id AS STRING) || '-' || CAST(event_id AS STRING), 0E0 FROM fx_attendances
+UNION ALL SELECT 'reservations', CAST(reservation_id AS STRING) || '-' || CAST(event_id AS STRING), CAST(table_price AS DOUBLE) FROM fx_live_reservations
+UNION ALL SELECT 'social_ties', CAST(user_1_id AS STRING) || '-' || CAST(user_2_id AS STRING) || '-'
+  || substr(CAST(first_shared_event AS STRING), 1, 10) || '-' || substr(CAST(last_shared_event AS STRING), 1, 10), tie_strength FROM c
+UNION ALL SELECT DISTINCT 'segments', c_mktsegment, 0E0 FROM paid
+UNION ALL SELECT 'belongs', CAST(c_custkey AS STRING) || '-' || c_mktsegment, 0E0 FROM paid"""
+
+
+def _delivered(name: str, df: DataFrame, time: str, deleted: bool = False) -> DataFrame:
+    """A source table as envelopes with one time; payload values are text."""
+    schema, table = name.split(".")
+    keys = SOURCE_KEYS[name]
+    at = F.lit(time).cast("timestamp")
+    values = [part for column in df.columns for part in (F.lit(column), F.col(column).cast("string"))]
+    return df.select(
+        F.concat_ws("-", F.lit(name), *[F.col(key).cast("string") for key in keys], F.lit(time)).alias("uuid"),
+        at.alias("source_timestamp"), at.alias("read_timestamp"),
+        F.struct(
+            F.lit(schema).alias("schema"), F.lit(table).alias("table"),
+            F.array(*[F.lit(key) for key in keys]).alias("primary_keys"), F.lit(deleted).alias("is_deleted"),
+            F.lit("UPDATE").alias("change_type"), F.lit("0/1").alias("lsn"),
+        ).alias("source_metadata"),
+        F.create_map(*values).alias("payload"),
+    )
+
+
+def _deliveries(w: Workspace) -> list[DataFrame]:
+    """All source tables in three batches: first every ticket as a used one, then the tickets
+    as they are, then users in debt deleted, long events a day later and, late, older
+    dates of all events."""
+    raw = w.source_tables
+    both = lambda frames: reduce(DataFrame.unionByName, frames)
+    tickets, events = raw["transactions.tickets"], raw["core.events"]
+    date = F.col("event_date").cast("date")
+    moved = w.table("part").filter("p_size > 40").select(F.col("p_partkey").alias("id")).join(events, "id")
+    first = [_delivered(n, df, "2024-01-01") for n, df in raw.items() if n != "transactions.tickets"]
+    return [
+        both([*first, _delivered("transactions.tickets", tickets.withColumn("ticket_state_id", F.lit(2)), "2024-01-01")]),
+        _delivered("transactions.tickets", tickets, "2024-02-01"),
+        both([
+            _delivered("core.users", raw["core.users"].join(
+                w.table("customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("id")), "id", "left_semi"
+            ), "2024-03-01", True),
+            _delivered("core.events", moved.withColumn("event_date", F.date_add(date, 1)), "2024-03-01"),
+            _delivered("core.events", events.withColumn("event_date", F.date_add(date, -9)), "2023-01-01"),
+        ]),
+    ]
+
+
+@query(PROJECTED_SQL)
 def project_after_batch(w: Workspace) -> DataFrame:
-    """The projected users after the change log came in as one batch."""
+    """Every part of the projection after three batches of changes, the last one delivered
+    twice."""
     state = stream.ChangeState(w.spark, scratch_path(w.spark, "state"))
     sink = scratch_path(w.spark, "projection")
-    source = stream.scan_envelope_stream(w.spark, _envelope_files(w))
-    stream.stream_job(
-        source, state, scratch_path(w.spark, "checkpoint"), scratch_path(w.spark, "log"), None,
-        stream.project_after_batch(state, sink),
-    ).awaitTermination()
-    users = keyed.KeyedTable(w.spark, f"{sink}/users", ("user_id",)).current()
-    return users.select("user_id", "source_deleted")
+    handle = stream.batch_handler(state, scratch_path(w.spark, "log"), stream.project_after_batch(state, sink))
+    batches = [cut_lineage(batch, "delivery") for batch in _deliveries(w)]
+    for number, batch in [*enumerate(batches), (len(batches) - 1, batches[-1])]:
+        handle(batch, number)
+    day = lambda name: F.substring(F.col(name).cast("string"), 1, 10)
+    more = {
+        "users": F.when(F.col("source_deleted"), "gone").otherwise("here"), "events": day("event_date"),
+        "purchases": F.col("event_id"), "attendances": F.col("event_id"), "reservations": F.col("event_id"),
+        "social_ties": F.concat_ws("-", day("first_shared_event"), day("last_shared_event")),
+    }
+    value = {"purchases": "price_paid", "reservations": "table_price", "social_ties": "tie_strength"}
+    made = []
+    for name, keys in PROJECTED_KEYS.items():
+        key = [F.col(k).cast("string") for k in keys] + ([more[name].cast("string")] if name in more else [])
+        amount = F.col(value[name]) if name in value else F.lit(0.0)
+        made.append(stream.projected(w.spark, sink, name).select(
+            F.lit(name).alias("part"), F.concat_ws("-", *key).alias("key"), amount.cast("double").alias("value")
+        ))
+    return reduce(DataFrame.unionByName, made)
 
 
 @query("SELECT CAST(uuid AS STRING) AS uuid FROM fx_changelog WHERE uuid % 2 = 0")

@@ -148,8 +148,8 @@ FROM part""",
     "fx_ticket_states": """
 SELECT 1 AS id, 'active' AS name UNION ALL SELECT 2, 'Used' UNION ALL SELECT 3, 'cancelled'""",
     "fx_table_prices": """
-SELECT l_suppkey AS table_id, l_partkey AS event_id, min(l_extendedprice) AS price
-FROM lineitem WHERE l_partkey % 2 = 0
+SELECT l_suppkey AS table_id, l_partkey AS event_id, min(CASE WHEN l_partkey % 2 = 0 THEN l_extendedprice END) AS price
+FROM lineitem
 GROUP BY l_suppkey, l_partkey""",
     "fx_reservations": """
 SELECT reservation_id, reservation_state_id, user_id, table_id, event_id, reserved_at
@@ -197,6 +197,21 @@ UNION SELECT DISTINCT 'reservation', event_id, user_id FROM fx_live_reservations
 }
 
 
+SOCIAL_SQL = """
+WITH s AS (
+  SELECT a.user_id AS user_1_id, b.user_id AS user_2_id,
+         CAST(sum(CASE WHEN a.channel = 'attendance' THEN 1 ELSE 0 END) AS BIGINT) AS shared_attendances,
+         CAST(sum(CASE WHEN a.channel = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS shared_purchases,
+         CAST(sum(CASE WHEN a.channel = 'reservation' THEN 1 ELSE 0 END) AS BIGINT) AS shared_reservations,
+         min(d.event_date) AS first_shared_event, max(d.event_date) AS last_shared_event
+  FROM fx_channel_members a
+       JOIN fx_channel_members b ON a.channel = b.channel AND a.event_id = b.event_id AND a.user_id < b.user_id
+       LEFT JOIN fx_day d ON d.event_id = a.event_id
+  GROUP BY a.user_id, b.user_id)
+SELECT s.*, round(shared_attendances * 1.0E0 + shared_reservations * 0.75E0 + shared_purchases * 0.25E0, 3) AS tie_strength
+FROM s"""
+
+
 def with_views(*names_then_body: str) -> str:
     """SQL with the named views, and those they use, in front of the body."""
     *names, body = names_then_body

@@ -163,10 +163,12 @@ class StarViews:
 
     @cached_property
     def table_prices(self) -> DataFrame:
+        """A row per pair of supplier and part; odd parts are listed without a price."""
+        least = F.min(F.when(F.col("l_partkey") % 2 == 0, F.col("l_extendedprice")))
         return (
-            self.table("lineitem").filter("l_partkey % 2 = 0")
+            self.table("lineitem")
             .groupBy(F.col("l_suppkey").alias("table_id"), F.col("l_partkey").alias("event_id"))
-            .agg(F.min("l_extendedprice").alias("price"))
+            .agg(least.alias("price"))
         )
 
     @cached_property
