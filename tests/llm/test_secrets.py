@@ -29,13 +29,18 @@ def entropy_by_hand(text):
         if any(re.search(p, value) for p in secrets.ALLOWED):
             continue
         bits = secrets.HEX_BITS if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) else secrets.OTHER_BITS
-        hot = []
+        covered = [range(*x.span()) for x in re.finditer(secrets.ALLOWED_WITHIN, value)]
+        runs = []
         for k in range(len(value) - 19):
             window = Counter(value[k : k + 20])
+            if any(c.start < k + 20 and k < c.stop for c in covered):
+                continue
             if -sum(n / 20 * math.log2(n / 20) for n in window.values()) >= bits - 1e-6:
-                hot.append(k)
-        if hot:
-            out.append((m.start() + hot[0], 3, m.start() + hot[-1] + 20))
+                if runs and k <= runs[-1][1]:
+                    runs[-1][1] = k + 20
+                else:
+                    runs.append([k, k + 20])
+        out += [(m.start() + a, 3, m.start() + b) for a, b in runs]
     return out
 
 
@@ -55,6 +60,7 @@ def rows():
         (44, f"{prose(1, 50)} {token}\n{token} {'0123456789' * 6} {token[:19]}"),
         (45, "123e4567-e89b-12d3-a456-426614174000 " + "Zq3" * 12 + token + "aaaaaaaaab" * 9 + token),
         (44, f"{prose(1, 50)} {token}\n{token} {'0123456789' * 6} {token[:19]}"),
+        (47, f"/samples/{token} {token}01234567{token}qwerty{token[:19]} {token}{'ab' * 30}1{token}"),
         (46, "".join(draw.choice(secrets.ALPHABET) for _ in range(3000))),
     ]
 
@@ -72,6 +78,13 @@ def test_report_matches_by_hand(spark):
     assert any("entropy" in w[-1] for w in wanted)
 
 
+def test_an_allowed_part_hides_only_itself(spark):
+    token = rows()[0][1].split("'")[1]
+    text = f"/samples/{token} {token}01234567{token}"
+    masked = secrets.redact(frame(spark, [(1, text)])).first().text
+    assert token not in masked and "/sample[" in masked and "01234567" in masked
+
+
 def test_redacting_masks_every_span_and_keeps_the_rest(spark):
     docs = odd_rows() + rows()
     wanted = []

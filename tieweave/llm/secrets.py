@@ -25,54 +25,65 @@ WINDOW = 20
 #: prose stays near 3.2 and has no digits.
 HEX_BITS, OTHER_BITS = 3.0, 3.8
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: What looks random but is no secret: strings without a digit or without a letter,
-#: placeholders, runs of one character, key-board rows, and UUIDs.
+#: What looks random but is no secret: whole strings without a digit or without a letter,
+#: and UUIDs; and, within a string, placeholders, runs of one character and key-board rows.
 ALLOWED = (
     r"^[^0-9]*$",
     r"^[^A-Za-z]*$",
-    r"(?i)example|sample|placeholder|dummy|changeme|your[_-]|xxxx",
-    r"(.)\1{5,}",
-    r"(?i)abcdefgh|01234567|12345678|qwerty",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
 )
+ALLOWED_WITHIN = (
+    r"(?i:example|sample|placeholder|dummy|changeme|your[_-]|xxxx)|(.)\1{5,}"
+    r"|(?i:abcdefgh|01234567|12345678|qwerty)"
+)
 #: c * log2(c) in millionths for c from 0 to the window's length: whole numbers, so
 #: that adding and taking away leave no rounding behind.
 TERMS = f"transform(sequence(0, {WINDOW}), c -> IF(c = 0, 0L, CAST(round(c * log2(c) * 1e6) AS BIGINT)))"
 
 
-def hot_range(places: Column, bits: Column) -> Column:
-    """struct(counts, total, first, last) after one pass over a candidate, given as the
-    places of its characters in the alphabet: ``first`` and ``last`` bound the windows
-    with at least ``bits`` of entropy a character and are null if there are none.
+def hot_ranges(places: Column, bits: Column) -> Column:
+    """array of struct(first, last) after one pass over a candidate, given as the places of
+    its characters in the alphabet, 0 for those that the allow-list covers: the runs of
+    overlapping or touching windows with at least ``bits`` of entropy a character. No
+    window reaches over an allowed character.
 
     The pass keeps a count per character and the sum of c * log2(c) over them; a
-    character that enters or leaves changes one count and one term of the sum.
+    character that enters or leaves changes one count and one term of the sum. An allowed
+    one empties the window.
     """
     limit = (F.log2(F.lit(float(WINDOW))) - bits) * WINDOW * 1e6
-    none = F.lit(None).cast("int")
     zero = F.lit(0).cast("long")
+    empty = F.array_repeat(F.lit(0), len(ALPHABET))
+    found = F.array().cast("array<struct<first:int,last:int>>")
     state = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), zero.alias("total"),
-        none.alias("first"), none.alias("last"),
+        empty.alias("counts"), zero.alias("total"), F.lit(0).alias("size"),
+        F.lit(None).cast("struct<first:int,last:int>").alias("open"), found.alias("found"),
     )
     terms = F.expr(TERMS)
 
     def step(acc: Column, at: Column) -> Column:
-        counts, enters, leaves = acc["counts"], at["enters"], at["leaves"]
+        counts, enters, full = acc["counts"], at["enters"], acc["size"] >= WINDOW
+        leaves = F.when(full, at["leaves"])
         held, gone = F.get(counts, enters - 1), F.get(counts, leaves - 1)
         added = F.get(terms, held + 1) - F.get(terms, held)
         taken = F.get(terms, gone) - F.get(terms, gone - 1)
         change = F.when(leaves.isNull(), added).when(leaves == enters, zero).otherwise(added - taken)
-        total = acc["total"] + change
         after = F.transform(
             counts,
             lambda n, k: n + (k == enters - 1).cast("int") - (k.eqNullSafe(leaves - 1)).cast("int"),
         )
-        hot = (at["end"] >= WINDOW) & (total <= limit)
+        allowed = enters == 0
+        size = F.when(allowed, F.lit(0)).otherwise(acc["size"] + 1)
+        total = F.when(allowed, zero).otherwise(acc["total"] + change)
+        hot = (size >= WINDOW) & (total <= limit)
+        first, last = at["end"] - WINDOW, at["end"]
+        apart = acc["open"].isNotNull() & (first > acc["open"]["last"])
+        begun = acc["open"].isNull() | apart
         return F.struct(
-            after.alias("counts"), total.alias("total"),
-            F.when(hot, F.coalesce(acc["first"], at["end"] - WINDOW)).otherwise(acc["first"]).alias("first"),
-            F.when(hot, at["end"]).otherwise(acc["last"]).alias("last"),
+            F.when(allowed, empty).otherwise(after).alias("counts"), total.alias("total"), size.alias("size"),
+            F.when(hot, F.struct(F.when(begun, first).otherwise(acc["open"]["first"]).alias("first"), last.alias("last")))
+            .otherwise(acc["open"]).alias("open"),
+            F.when(hot & apart, F.concat(acc["found"], F.array(acc["open"]))).otherwise(acc["found"]).alias("found"),
         )
 
     moves = F.transform(
@@ -81,7 +92,18 @@ def hot_range(places: Column, bits: Column) -> Column:
             (k + 1).alias("end"), enters.alias("enters"), F.get(places, k - WINDOW).alias("leaves")
         ),
     )
-    return F.aggregate(moves, state, step)
+    return F.aggregate(
+        moves, state, step,
+        lambda acc: F.when(acc["open"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], F.array(acc["open"]))),
+    )
+
+
+def _places(match: Column) -> Column:
+    """The place of each character in the alphabet, 0 where the allow-list covers it."""
+    allowed = F.regexp_extract_all(match, F.lit(ALLOWED_WITHIN), F.lit(0))
+    blank = lambda part, name: F.concat(part, F.repeat(F.lit(" "), F.coalesce(F.length(name), F.lit(0))))
+    kept = F.array_join(F.zip_with(F.split(match, ALLOWED_WITHIN, -1), allowed, blank), "")
+    return F.transform(F.split(kept, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
 def matched(docs: DataFrame) -> DataFrame:
@@ -132,19 +154,20 @@ def spans(docs: DataFrame) -> DataFrame:
         allowed = allowed | F.col("match").rlike(pattern)
     candidate = (F.col("kind") == 3) & ~allowed
     bits = F.when(F.col("match").rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
-    places = F.transform(F.split("match", ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    entropy = F.col("kind") == 3
     judged = (
         matched(docs).filter(plain | candidate)
         .select(
-            *ROW, "kind", "start", "end", F.when(F.col("kind") == 3, bits).alias("bits"),
-            F.when(F.col("kind") == 3, places).alias("places"),
+            *ROW, "kind", "start", "end", F.when(entropy, bits).alias("bits"),
+            F.when(entropy, _places(F.col("match"))).alias("places"),
         )
-        .withColumn("hot", F.when(F.col("kind") == 3, hot_range(F.col("places"), F.col("bits"))))
-        .filter("kind < 3 OR hot.first IS NOT NULL")
     )
-    start = F.when(F.col("kind") < 3, F.col("start")).otherwise(F.col("start") + F.col("hot.first"))
-    end = F.when(F.col("kind") < 3, F.col("end")).otherwise(F.col("start") + F.col("hot.last"))
-    return judged.select(*ROW, "kind", start.alias("start"), end.alias("end"))
+    whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("end") - F.col("start")).alias("last")))
+    found = F.when(entropy, hot_ranges(F.col("places"), F.col("bits"))).otherwise(whole)
+    return judged.select(*ROW, "kind", "start", F.explode(found).alias("span")).select(
+        *ROW, "kind", (F.col("start") + F.col("span.first")).alias("start"),
+        (F.col("start") + F.col("span.last")).alias("end"),
+    )
 
 
 def per_row(docs: DataFrame) -> DataFrame:
