@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,10 +27,11 @@ PAIR_WEIGHT, WORD_WEIGHT = 2, 1
 #: different texts with a Jaccard of 0.8 or more over 5 words lie 5 to 18 bits apart,
 #: and the first one below 0.2 lies 21 apart.
 RADIUS = 20
-#: Most parts of a fingerprint, so that a part keeps 18 bits; see ``part_tables``.
-PARTS = 7
-#: Ranges of document ids that are handled together; see ``with_next``.
-BLOCKS_PER_PARTITION = 4
+#: Most bits of a part that a lookup turns; see ``part_tables``.
+MOST_FLIPS = 5
+#: Ranges of documents that are handled together, and rows that are drawn per range to
+#: place its bounds; see ``in_blocks``.
+BLOCKS_PER_PARTITION, DRAWN = 4, 20
 
 
 def term_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,29 +106,38 @@ def likeness(high: Column, low: Column, other_high: Column, other_low: Column) -
     return F.lit(1.0) - apart / F.lit(float(BITS))
 
 
+def bounds_of(rows: DataFrame, parts: int) -> list:
+    """At most ``parts - 1`` rows (doc_id, mark) that cut the others into ranges of about
+    equal size: every ``DRAWN``-th of the rows with the least hashes, so ids of any type
+    do, and a null or repeated id is cut by the marks of its texts."""
+    drawn = rows.select("doc_id", "mark").orderBy(F.xxhash64("doc_id", "mark")).limit(DRAWN * parts)
+    return drawn.orderBy("doc_id", "mark").collect()[DRAWN::DRAWN]
+
+
 def in_blocks(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) dealt into ranges of ids, highest first, with the first
-    row of the range below as a guest at the end of each range; the last range has
-    the very first row as its guest.
+    """``docs`` (doc_id, text) dealt into ranges, highest first, with the first row of
+    the range below as a guest at the end of each range; the last range has the very
+    first row as its guest.
 
-    Order: doc_id descending, nulls last, then the text's MD5. Only one boundary and
-    one row per range go through the driver.
+    Order: doc_id descending, nulls last, then the text's MD5. Only ``DRAWN`` rows (id
+    and MD5) per range go through the driver.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * BLOCKS_PER_PARTITION
-    shares = [k / parts for k in range(1, parts)]
-    bounds = docs.agg(F.percentile_approx("doc_id", shares, 100 * parts).alias("b")).first()["b"] or []
-    edges = F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<long>")
-    block = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter(edges, lambda b: b < F.col("doc_id")))
-    )
-    rows = docs.select("doc_id", "text", F.md5("text").alias("mark"), block.alias("block"))
-    heads = rows.groupBy("block").agg(F.max(F.struct("doc_id", "mark")).alias("head"))
+    rows = docs.select("doc_id", "text", F.md5("text").alias("mark"))
+    kind = docs.schema["doc_id"].dataType
+    edges = [
+        F.struct(F.lit(b["doc_id"]).cast(kind).alias("doc_id"), F.lit(b["mark"]).alias("mark"))
+        for b in bounds_of(rows, parts)
+    ]
+    here = F.struct("doc_id", "mark")
+    block = F.size(F.filter(F.array(*edges), lambda b: b < here)) if edges else F.lit(0)
+    rows = rows.withColumn("block", block)
+    heads = rows.groupBy("block").agg(F.max(here).alias("head"))
     heads = sorted(heads.collect(), key=lambda r: -r["block"])
     hosts = [heads[k - 1]["block"] for k in range(len(heads))]
     guests = [(*r["head"], host) for r, host in zip(heads, hosts, strict=True)]
-    schema = f"id {docs.schema['doc_id'].dataType.simpleString()}, first string, host int"
-    sent = F.broadcast(spark.createDataFrame(guests, schema))
+    sent = F.broadcast(spark.createDataFrame(guests, f"id {kind.simpleString()}, first string, host int"))
     same = rows.doc_id.eqNullSafe(sent["id"]) & (rows.mark == sent["first"])
     visits = rows.join(sent, same).select(
         "doc_id", "text", "mark", F.col("host").alias("block"), F.lit(True).alias("guest")
@@ -150,8 +161,8 @@ def prints(docs: DataFrame) -> DataFrame:
     ``high`` and ``low``; written once.
 
     The edited form has the last half of a text replaced by the beginning of the next
-    document's, as long as that half or all of it; a lone document is its own next.
-    Null texts are empty; a text without words has the fingerprint zero. Rows of one
+    document's, as long as that half or all of it; a lone document is its own next. Ids
+    may be of any type that has an order. Null texts are empty; a text without words has the fingerprint zero. Rows of one
     id follow each other by the MD5 of their texts; null ids come last. Repeated rows
     come out once each.
     """
@@ -198,7 +209,8 @@ def shown_class(high: str, low: str) -> Column:
 
 
 def is_asked(every: int) -> Column:
-    return F.coalesce(F.col("doc_id").cast("long") % every == 0, F.lit(False))
+    """Whether an id is a number divisible by ``every``; other ids are not asked for."""
+    return F.coalesce(F.col("doc_id").try_cast("long") % every == 0, F.lit(False))
 
 
 def near_classes(made: DataFrame, radius: int, every: int) -> DataFrame:
@@ -214,49 +226,68 @@ def near_classes(made: DataFrame, radius: int, every: int) -> DataFrame:
     return RoundTables(made.sparkSession, "near").write(found)[0]
 
 
-def counted(made: DataFrame, near: DataFrame, every: int) -> DataFrame:
-    others = F.sum((F.col("bits") > 0).cast("long"))
-    docs = F.sum("n_docs") - 1
-    found = near.groupBy("high", "low").agg(others.alias("n_near"), docs.alias("n_near_docs"))
-    return made.join(found, ["high", "low"], "left").select(
-        *made.columns,
-        *[F.when(is_asked(every), F.col(name)).alias(name) for name in ("n_near", "n_near_docs")],
-    )
+def with_found(made: DataFrame, found: DataFrame, every: int) -> DataFrame:
+    """``made`` with the columns of ``found`` (one row per fingerprint asked for), null for
+    documents not asked for. Only those asked for meet ``found``."""
+    asked = made.filter(is_asked(every)).join(found, ["high", "low"], "left")
+    others = made.filter(~is_asked(every))
+    return asked.unionByName(others, allowMissingColumns=True)
+
 
+def report(docs: DataFrame, radius: int = RADIUS, every: int = 20) -> DataFrame:
+    """``prints`` with what the search finds for the documents whose id is divisible by
+    ``every``, null for others, a row per row of ``docs``.
 
-def report(docs: DataFrame, radius: int = 3, every: int = 20) -> DataFrame:
-    """``prints`` with two counts for the documents whose id is divisible by ``every``,
-    null for others: ``n_near`` other fingerprints within ``radius`` bits, and
-    ``n_near_docs`` other documents that have these or the same fingerprint.
+    ``n_near`` is the number of other fingerprints within ``radius`` bits, ``n_near_docs``
+    that of other documents that have these or the same fingerprint, and ``near_classes``
+    lists the fingerprints as ``fingerprint:bits:documents``, nearest first, joined by
+    commas: the members of a class are the documents with that ``fingerprint``. The own
+    class, 0 bits away, is listed if another document is in it. ``neighbours`` gives the
+    same as rows, for classes with very many neighbours.
     """
     made = prints(docs)
-    return counted(made, near_classes(made, radius, every), every).drop("high", "low")
+    near = near_classes(made, radius, every)
+    item = F.struct("bits", shown_class("near_high", "near_low").alias("neighbour"), "n_docs")
+    listed = F.sort_array(F.collect_list(F.when((F.col("bits") > 0) | (F.col("n_docs") > 1), item)))
+    shown = F.transform(listed, lambda c: F.concat_ws(":", c["neighbour"], c["bits"], c["n_docs"]))
+    found = near.groupBy("high", "low").agg(
+        F.sum((F.col("bits") > 0).cast("long")).alias("n_near"), (F.sum("n_docs") - 1).alias("n_near_docs"),
+        F.array_join(shown, ",").alias("near_classes"),
+    )
+    return with_found(made, found, every).drop("high", "low")
 
 
 def neighbours(docs: DataFrame, radius: int = RADIUS, every: int = 20) -> DataFrame:
-    """``report`` with a row per neighbour class: ``neighbour``, the fingerprint that its
-    documents share, ``bits`` to it and the ``neighbour_docs`` in it.
-
-    The class of a document is its own ``fingerprint``, so the members of a neighbour
-    class are the documents with that fingerprint. The own class, 0 bits away, is listed
-    if another document is in it. A document without neighbours, or one not asked for,
-    has one row, with nulls.
+    """(fingerprint, neighbour, bits, neighbour_docs): a row per fingerprint of a document
+    whose id is divisible by ``every`` and fingerprint within ``radius`` bits that another
+    document has; ``neighbour_docs`` documents have it. The members of a class are the
+    documents that ``prints`` gives that ``fingerprint``.
     """
-    made = prints(docs)
-    near = near_classes(made, radius, every)
-    listed = near.filter("bits > 0 OR n_docs > 1").select(
-        "high", "low", F.lit(True).alias("asked"), shown_class("near_high", "near_low").alias("neighbour"),
+    near = near_classes(prints(docs), radius, every)
+    return near.filter("bits > 0 OR n_docs > 1").select(
+        shown_class("high", "low").alias("fingerprint"), shown_class("near_high", "near_low").alias("neighbour"),
         "bits", F.col("n_docs").alias("neighbour_docs"),
     )
-    rows = counted(made, near, every).withColumn("asked", is_asked(every))
-    return rows.join(listed, ["high", "low", "asked"], "left").drop("high", "low", "asked")
 
 
-def part_tables(radius: int) -> tuple[list[int], int]:
+def part_tables(radius: int, rows: int) -> tuple[list[int], int]:
     """Bit masks of parts, and a number of flips: two fingerprints within ``radius`` bits
-    differ in at most so many bits of at least one part."""
-    flips = radius // PARTS
-    parts = -(-(radius + 1) // (flips + 1))
+    differ in at most so many bits of at least one part.
+
+    More flips allow fewer and wider parts, which cost more lookups but meet fewer of the
+    ``rows`` fingerprints by chance; the choice with the least of both together is taken,
+    so parts grow wider as the index grows.
+    """
+    def parts_of(flips: int) -> int:
+        return max(2, -(-(radius + 1) // (flips + 1)))
+
+    def work(flips: int) -> float:
+        parts = parts_of(flips)
+        lookups = parts * sum(comb(-(-BITS // parts), n) for n in range(flips + 1))
+        return lookups * (1 + rows / 2.0 ** (BITS / parts))
+
+    flips = min(range(min(radius, MOST_FLIPS) + 1), key=work)
+    parts = parts_of(flips)
     edges = [round(BITS * k / parts) for k in range(parts + 1)]
     return [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)], flips
 
@@ -272,7 +303,7 @@ def _part(high: str, low: str, mask: int) -> Column:
     return F.col(high).bitwiseAND(F.lit(over).cast("long")).bitwiseOR(F.col(low).bitwiseAND(F.lit(under).cast("long")))
 
 
-def search(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
+def search(queries: DataFrame, index: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(query_high, query_low, high, low, bits): all distinct fingerprints of ``index``
     within ``radius`` bits of each distinct one of ``queries``; exact.
 
@@ -281,7 +312,7 @@ def search(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
     part that brings it together, so it comes once.
     """
     spark = queries.sparkSession
-    masks, flips = part_tables(radius)
+    masks, flips = part_tables(radius, index.count())
 
     def looked_up(rows: DataFrame, high: str, low: str) -> DataFrame:
         listed = [F.struct(F.lit(k).alias("table"), _part(high, low, m).alias("block")) for k, m in enumerate(masks)]
@@ -320,4 +351,4 @@ def search(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def op2_document_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
-    return neighbours(table(spark, directory, "documents"))
+    return report(table(spark, directory, "documents"))
