@@ -31,7 +31,8 @@ from tieweave.session import RoundTables, sent_whole
 
 #: Symbols that are hashed at once.
 SLICE = 1 << 19
-#: A key with more different stretches has its windows settled one by one.
+#: A key with more different stretches has its windows settled one by one, unless the
+#: operator hands more to its method.
 HOT_PIECES = 1_000
 #: Rows that a task resolves, and pieces whose keys it hands to the method, at once.
 ROWS, PIECES = 1 << 18, 1 << 14
@@ -51,6 +52,10 @@ class Repeat:
     symbols: Callable[[bytes], np.ndarray]
     #: Text, first and last symbol to the bytes that a method needs.
     cut: Callable[[bytes], Callable[[int, int], bytes]]
+    #: Stretches of one key that the method takes, each with ``wide`` times ``window``
+    #: windows on the average.
+    most: int = HOT_PIECES
+    wide: int = 4
 
 
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -328,9 +333,9 @@ PIECE = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "doc", "st
 def asked_of(docs: DataFrame, wanted: DataFrame, rule: Repeat, hot_pieces: int) -> tuple[DataFrame, bool]:
     """(doc, text, wanted) for the documents of the wanted stretches, each with whether
     its key is hot, and whether any is: it has more stretches than ``hot_pieces``, or as
-    many windows as so many long ones."""
+    many windows as so many wide ones."""
     sizes = wanted.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("windows"))
-    sizes = sizes.filter((F.col("n") > hot_pieces) | (F.col("windows") > hot_pieces * 4 * rule.window))
+    sizes = sizes.filter((F.col("n") > hot_pieces) | (F.col("windows") > hot_pieces * rule.wide * rule.window))
     sizes = sizes.select("key", F.lit(True).alias("hot"))
     hot = sizes.count()
     marked = wanted.join(sent_whole(sizes, hot), "key", "left")
@@ -457,9 +462,10 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return one, numbers
 
 
-def repeated_spans(docs: DataFrame, rule: Repeat, method: Method, hot_pieces: int = HOT_PIECES) -> DataFrame:
+def repeated_spans(docs: DataFrame, rule: Repeat, method: Method, hot_pieces: int | None = None) -> DataFrame:
     """(doc, start, end): spans, in symbols, of all windows of ``docs`` (doc, text) that
-    occur earlier; spans of one document may overlap."""
+    occur earlier; spans of one document may overlap. ``hot_pieces`` stands in for
+    ``rule.most``."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -471,7 +477,7 @@ def repeated_spans(docs: DataFrame, rule: Repeat, method: Method, hot_pieces: in
         return rows.filter("span").select("doc", "start", (F.col("start") + F.col("size")).alias("end"))
 
     found, _ = RoundTables(spark, "stretches").write(met(all_stretches(docs, rule)))
-    asked, hot = asked_of(docs, found.filter("NOT span").drop("span"), rule, hot_pieces)
+    asked, hot = asked_of(docs, found.filter("NOT span").drop("span"), rule, hot_pieces or rule.most)
     texts = pieces(asked, rule).repartition(parts, "key").sortWithinPartitions("key", "doc", "start")
     all_spans = spans(found).union(by_key(texts, method))
     return all_spans.union(spans(met(hot_windows(asked, rule)))) if hot else all_spans

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tieweave.llm.stretches import (
-    Repeat, content, merged, mixed, numbered, removed, repeated_spans,
+    PIECES, Repeat, content, merged, mixed, numbered, removed, repeated_spans,
     running, with_spans,
 )
 from tieweave.llm.tables import documents, per_batch, schema_of, table, text_bytes
@@ -41,7 +41,9 @@ def byte_cut(text: bytes):
 
 
 def byte_rule(length: int = LENGTH, gram: int = GRAM) -> Repeat:
-    return Repeat(length, gram, True, byte_symbols, byte_cut)
+    # A suffix array takes as many stretches of one key as a task hands over at once
+    # anyway, so a key with many needs no more memory than many keys with few.
+    return Repeat(length, gram, True, byte_symbols, byte_cut, most=PIECES, wide=1)
 
 
 class SuffixArray:
