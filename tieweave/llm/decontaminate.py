@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tieweave.llm.tables import documents, table
+from tieweave.llm.tables import documents, spare_name, table
 from tieweave.session import BROADCAST_ROWS
 
 #: Digits, letters a-z and everything beyond ASCII.
@@ -108,8 +108,9 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, all columns kept."""
     found = hits(documents(docs), benchmark, size).select(*ROW).distinct()
-    marked = docs.withColumn("__mark", F.md5(F.coalesce(docs["text"], F.lit(""))))
-    same = marked["doc_id"].eqNullSafe(found["doc_id"]) & (marked["__mark"] == found["mark"])
+    mark = spare_name(docs)
+    marked = docs.withColumn(mark, F.md5(F.coalesce(docs["text"], F.lit(""))))
+    same = marked["doc_id"].eqNullSafe(found["doc_id"]) & (marked[mark] == found["mark"])
     return marked.join(found, same, "left_anti").select(*[marked[c] for c in docs.columns])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tieweave.llm.tables import documents, table
+from tieweave.llm.tables import documents, spare_name, table
 
 ROW = ["doc_id", "mark"]
 KINDS = ("assign", "access", "hex", "entropy")
@@ -210,8 +210,9 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The rows of ``docs`` with every found span replaced by ``mask``, all columns
     kept; overlapping and touching spans become one. Null texts stay null."""
     found = per_row(documents(docs))
-    marked = docs.withColumn("__mark", F.md5(F.coalesce(docs["text"], F.lit(""))))
-    same = marked["doc_id"].eqNullSafe(found["doc_id"]) & (marked["__mark"] == found["mark"])
+    mark = spare_name(docs)
+    marked = docs.withColumn(mark, F.md5(F.coalesce(docs["text"], F.lit(""))))
+    same = marked["doc_id"].eqNullSafe(found["doc_id"]) & (marked[mark] == found["mark"])
     zero = F.struct(F.lit("").alias("made"), F.lit(0).alias("at"))
 
     def step(acc: Column, span: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tieweave.llm.components import components
-from tieweave.llm.tables import documents, per_batch, schema_of, table, text_bytes
+from tieweave.llm.tables import documents, per_batch, schema_of, spare_name, table, text_bytes
 from tieweave.session import RoundTables
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -258,10 +258,11 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
     heads = prints.groupBy("simhash").agg(first).join(groups, "simhash")
     chosen = heads.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.mark")
-    marked = docs.withColumn("__mark", F.md5(F.coalesce(docs["text"], F.lit(""))))
-    same = marked["doc_id"].eqNullSafe(chosen["doc_id"]) & (marked["__mark"] == chosen["mark"])
+    mark = spare_name(docs)
+    marked = docs.withColumn(mark, F.md5(F.coalesce(docs["text"], F.lit(""))))
+    same = marked["doc_id"].eqNullSafe(chosen["doc_id"]) & (marked[mark] == chosen["mark"])
     kept = marked.join(chosen, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "__mark"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", mark]).select(*docs.columns)
 
 
 def op5_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:

@@ -19,6 +19,14 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def spare_name(docs: DataFrame, wanted: str = "mark") -> str:
+    """``wanted``, made longer until no column of ``docs`` has that name in any case."""
+    taken = {name.lower() for name in docs.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def schema_of(docs: DataFrame, **columns: T.DataType) -> T.StructType:
     """``doc_id`` in the type it has in ``docs``, and further columns."""
     fields = [T.StructField("doc_id", docs.schema["doc_id"].dataType)]
