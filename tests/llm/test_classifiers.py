@@ -100,3 +100,36 @@ def test_odd_tables(spark):
     assert {r.score for r in quality.report(docs, none).collect()} == {0.5}
     empty = frame(spark, [])
     assert quality.report(empty, none).collect() == toxicity.report(empty, none).collect() == []
+
+
+def test_long_runs_are_read_to_their_end():
+    assert toxicity.features_of("x" * 40 + "bad") != toxicity.features_of("x" * 40 + "good")
+    assert toxicity.features_of("word") == toxicity.features_of("word") and len(toxicity.features_of("wordy")) == 3
+    texts, bad = toxic_table()
+    joined = ["".join(text.split()) for text in texts + bad]
+    model = toxicity.fit(joined, np.array([0.0] * 120 + [1.0] * 30))
+    fresh = ["".join(text.split()[::-1]) for text in bad]
+    assert np.mean([model.total(text) >= model.cut for text in fresh]) > 0.9
+
+
+def test_thresholds_are_likeliest_for_the_grades(monkeypatch):
+    """The fitted thresholds against the likelihood in plain Python, with the decay off."""
+    texts, bad = toxic_table()
+    toxic = np.array([0.0] * 120 + [1.0] * 30)
+    monkeypatch.setattr(toxicity, "STEPS", 3000)
+    model = toxicity.fit(texts + bad, toxic)
+    assert all(a < b for a, b in zip(model.thresholds, model.thresholds[1:], strict=False))
+    totals = [model.total(text) for text in texts + bad]
+
+    def chance(total, threshold):
+        return 1 / (1 + np.exp(-(total - threshold)))
+
+    def above(k):
+        return sum(chance(total, model.thresholds[k]) for total in totals)
+
+    # At the best thresholds the expected number of rows at each grade or above is about
+    # the number seen; the first one is seen in the labels.
+    assert above(0) == pytest.approx(30, abs=1.5)
+    for total, text in zip(totals[:5], texts, strict=False):
+        by_hand = [chance(total, threshold) for threshold in model.thresholds]
+        assert model.above(np.array([model.total(text)]))[0].tolist() == pytest.approx(by_hand)

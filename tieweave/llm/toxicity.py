@@ -1,6 +1,7 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-Features are the distinct words of a text and their beginnings, hashed. One weight per
+Features are the distinct words of a text and their beginnings, hashed; of runs too long
+for a word, as in scripts without spaces, also all short pieces. One weight per
 feature is shared by all grades; ordered thresholds turn the weighted sum into the
 probability of each grade or a higher one, and their sum is the expected severity.
 
@@ -26,8 +27,9 @@ from tieweave.llm.samples import labelled_sample
 from tieweave.llm.tables import documents, per_batch, schema_of, table
 
 WORD = re.compile(r"\w+")
-#: Hashed features, the beginnings that count, and the longest word that is read whole.
-FEATURES, BEGINNINGS, LONGEST = 1 << 18, (4, 5, 6), 40
+#: Hashed features, the beginnings that count, the longest run that is taken for one word,
+#: and the lengths of the pieces of longer ones.
+FEATURES, BEGINNINGS, LONGEST, PIECES = 1 << 18, (4, 5, 6), 40, (2, 4)
 #: The fitted sample: so many labelled rows at most, of so many bytes each at most.
 SAMPLE_ROWS, SAMPLE_BYTES = 6000, 1 << 15
 #: A feature counts if it is in so many sampled texts, and a grade's bounds in words.
@@ -38,9 +40,11 @@ REMEMBERED = 500_000
 
 
 def features_of(word: str) -> list[int]:
-    """Hashed places of a word: itself, and its beginnings marked as such."""
-    word = word[:LONGEST]
+    """Hashed places of a word: itself, and its beginnings marked as such. A run of over
+    ``LONGEST`` letters has its distinct pieces besides, so all of it is read."""
     names = [word, *["^" + word[:n] for n in BEGINNINGS if len(word) >= n]]
+    if len(word) > LONGEST:
+        names += sorted({"~" + word[k : k + n] for n in PIECES for k in range(len(word) - n + 1)})
     return [zlib.crc32(name.encode()) % FEATURES for name in names]
 
 
@@ -65,9 +69,11 @@ class Ordinal:
         for word, n in words_of(text).items():
             value = self.sums.get(word)
             if value is None:
+                value = float(self.weights[features_of(word)].sum())
                 if len(self.sums) >= REMEMBERED:
                     self.sums.clear()
-                value = self.sums[word] = float(self.weights[features_of(word)].sum())
+                if len(word) <= LONGEST:
+                    self.sums[word] = value
             if value:
                 whole += value * emphasis(n)
         return whole
@@ -111,6 +117,11 @@ def sparse(texts: list[str], toxic: np.ndarray):
     return rows, np.frombuffer(places, np.int32), np.frombuffer(values, np.float32), in_bad, in_good
 
 
+def ascending(steps: np.ndarray) -> np.ndarray:
+    """Thresholds from the first one and the logs of the gaps between neighbours."""
+    return np.cumsum(np.append(steps[:1], np.exp(steps[1:])))
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
     """Fits weights and thresholds by gradient steps on the likelihood of the grades.
 
@@ -136,11 +147,13 @@ def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
     used = scale[places] > 0
     rows, places, values = rows[used], places[used], values[used].astype(float) * scale[places[used]]
     known, places = np.unique(places, return_inverse=True)
-    weights, thresholds = np.full(len(known), 0.1), np.arange(len(GRADES)) + 1.0
+    # The first threshold and the logs of the gaps to the next ones, so they ascend.
+    weights, steps = np.full(len(known), 0.1), np.array([1.0] + [0.0] * (len(GRADES) - 1))
     reach = grades[:, None] >= np.arange(1, len(GRADES) + 1)
     moments = [np.zeros(len(known)), np.zeros(len(known)), np.zeros(len(GRADES)), np.zeros(len(GRADES))]
     for step in range(1, STEPS + 1):
         totals = np.bincount(rows, weights[places] * values, len(texts))
+        thresholds = ascending(steps)
         above = 1 / (1 + np.exp(-np.clip(totals[:, None] - thresholds, -500, 500)))
         # The probability of a grade is a difference of two of these; its log has
         # the derivative 1 - upper - lower by the sum.
@@ -153,16 +166,16 @@ def fit(texts: list[str], toxic: np.ndarray) -> Ordinal:
         here = np.where(reach & (grades[:, None] == np.arange(1, len(GRADES) + 1)), -slope, 0)
         here = np.where(grades[:, None] + 1 == np.arange(1, len(GRADES) + 1), slope, here)
         by_threshold = -(here / mass[:, None]).sum(0) / len(texts)
-        for value, gradient, k in ((weights, by_weight, 0), (thresholds, by_threshold, 2)):
+        # A step moves its threshold and all after it.
+        by_step = np.cumsum(by_threshold[::-1])[::-1] * np.append(1.0, np.exp(steps[1:]))
+        for value, gradient, k in ((weights, by_weight, 0), (steps, by_step, 2)):
             moments[k] += 0.1 * (gradient - moments[k])
             moments[k + 1] += 0.01 * (gradient**2 - moments[k + 1])
             value -= RATE * (moments[k] / (1 - 0.9**step)) / (np.sqrt(moments[k + 1] / (1 - 0.99**step)) + 1e-8)
-        np.maximum.accumulate(thresholds + np.arange(len(GRADES)) * 1e-3, out=thresholds)
-        thresholds.sort()
     full = np.zeros(FEATURES)
     full[known] = weights * scale[known]
     totals = np.bincount(rows, weights[places] * values, len(texts))
-    return Ordinal(full, thresholds, best_cut(totals, toxic))
+    return Ordinal(full, ascending(steps), best_cut(totals, toxic))
 
 
 def grade(docs: DataFrame, model: Ordinal) -> DataFrame:
