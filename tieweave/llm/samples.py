@@ -14,7 +14,8 @@ def labelled_sample(
     ``longest`` bytes, the first by the hash of their id: a sample of bounded size that
     a longer table does not make larger and that is the same on every run.
 
-    Labels that are null, and ids that bear different labels, are not used.
+    Labels that are null, and ids that bear different labels, are not used. Of an id with
+    several texts the one with the least MD5 is taken.
     """
     marks = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     if usable is not None:
@@ -27,5 +28,6 @@ def labelled_sample(
     order = F.xxhash64("doc_id")
     ids = short.select("doc_id").join(marks, "doc_id").distinct().orderBy(order, "doc_id").limit(rows)
     chosen = short.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")
-    found = chosen.dropDuplicates(["doc_id"]).toPandas()
+    least = F.min_by(F.struct("text", "label"), F.md5("text")).alias("least")
+    found = chosen.groupBy("doc_id").agg(least).select("doc_id", "least.*").toPandas()
     return found.sort_values("doc_id", ignore_index=True)
