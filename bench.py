@@ -22,7 +22,7 @@ HEADLINE = (
     "conoce_a", "project_graph", "top_ties", "degree", "density", "isolated_users",
     "conoce_a_incremental", "event_recommendation", "event_recommendation_all",
     "strangers_same_circle", "new_companions_by_order", "new_companions_by_date", "debutants",
-    "large_groups", "same_table_type", "same_vip_table", "promo_reach", "indirect_reach",
+    "large_groups", "same_table_type", "same_vip_table", "promo_reach", "promo_reach_all", "indirect_reach",
     "shortest_path", "pagerank", "influencers", "communities", "community_summary",
     "vip_subgroups", "multi_community_users", "ticket_purchase_edges", "attendance_edges",
     "reservation_edges", "social_ties", "norm_csv_asistio_a", "reduce_cdc_to_current",

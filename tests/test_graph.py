@@ -11,7 +11,7 @@ from tieweave.graph.betweenness import betweenness
 from tieweave.graph.communities import louvain, modularity
 from tieweave.graph.pagerank import pagerank
 from tieweave.graph.social import project_graph
-from tieweave.graph.walks import bfs_levels, shortest_path
+from tieweave.graph.walks import bfs_levels, reach_of_all, shortest_path
 from tieweave.plans import questions
 
 
@@ -156,6 +156,45 @@ def test_walks_match_plain_search(spark, monkeypatch, rows, block_rows):
     assert [reach["u00"][f"hop{hop}"] for hop in (1, 2, 3)] == hops
     assert reach["u00"]["reach_percentage"] == round(sum(hops) / 24 * 100, 2)
     assert "nobody" not in reach
+    whole = {r["user_id"]: r for r in questions.promo_reach_all(graph, users).collect()}
+    assert len(whole) == 24 and whole["u00"] == reach["u00"] and whole["u07"] == reach["u07"]
+
+
+@pytest.mark.parametrize("rows", [0, 1_000_000])
+def test_reach_of_everybody_and_paths_against_plain_walks(spark, monkeypatch, rows):
+    for module in ("tieweave.graph.social", "tieweave.session"):
+        monkeypatch.setattr(f"{module}.BROADCAST_ROWS", rows)
+    names, ties = random_ties(150, 0.013, seed=5)
+    near = adjacency(ties)
+    graph, users, _ = make_graph(spark, names, ties, 10_000)
+    made = {r["id"]: r for r in reach_of_all(graph, 4).collect()}
+    paths = {}
+    for name in names:
+        level, seen = {name: [name]}, {name}
+        counts = []
+        while level and len(counts) < 30:
+            if name == names[3]:
+                paths |= level
+            step = {}
+            for v, path in level.items():
+                for u in near[v]:
+                    if u not in seen:
+                        step[u] = min(step.get(u, [*path, u]), [*path, u])
+            seen |= set(step)
+            counts.append(len(step))
+            level = step
+        counts += [0] * 4
+        assert [made[name][f"hop{hop}"] for hop in (1, 2, 3, 4)] == counts[:4]
+    assert len(made) == len(names)
+    for target in [*names[::31], max(paths, key=lambda v: len(paths[v]))]:
+        row = shortest_path(graph, names[3], target).first()
+        assert (row["path"] if row else None) == paths.get(target)
+
+
+def test_reach_without_ties_and_without_users(spark):
+    graph, users, _ = make_graph(spark, ["a", "b"], [])
+    made = questions.promo_reach_all(graph, users).collect()
+    assert [(r["hop1"], r["hop3"], r["total_users"], r["reach_percentage"]) for r in made] == [(0, 0, 2, 0.0)] * 2
 
 
 def test_shortest_path_is_the_smallest_of_the_shortest(spark):

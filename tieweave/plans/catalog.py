@@ -353,6 +353,30 @@ def promo_reach(w: Workspace) -> DataFrame:
     return ask.promo_reach(w.graph, w.usuario, seeds)
 
 
+@query(f"""
+WITH hop1 AS (SELECT DISTINCT src, dst FROM fx_edges),
+hop2 AS (
+  SELECT DISTINCT a.src, g.dst FROM hop1 a JOIN fx_edges g ON g.src = a.dst
+  ANTI JOIN hop1 b ON b.src = a.src AND b.dst = g.dst WHERE g.dst <> a.src),
+hop3 AS (
+  SELECT DISTINCT a.src, g.dst FROM hop2 a JOIN fx_edges g ON g.src = a.dst
+  ANTI JOIN hop1 b ON b.src = a.src AND b.dst = g.dst
+  ANTI JOIN hop2 c ON c.src = a.src AND c.dst = g.dst),
+counts AS (
+  SELECT src, count(*) FILTER (WHERE hop = 1) AS hop1, count(*) FILTER (WHERE hop = 2) AS hop2,
+         count(*) FILTER (WHERE hop = 3) AS hop3
+  FROM (SELECT src, 1 AS hop FROM hop1 UNION ALL SELECT src, 2 FROM hop2 UNION ALL SELECT src, 3 FROM hop3)
+  GROUP BY src),
+whole AS (
+  SELECT u.id AS user_id, username, coalesce(hop1, 0) AS hop1, coalesce(hop2, 0) AS hop2,
+         coalesce(hop3, 0) AS hop3, (SELECT count(*) FROM customer) AS total_users
+  FROM fx_usuario u LEFT JOIN counts ON counts.src = u.id)
+SELECT *, hop1 + hop2 + hop3 AS total_reach,
+       {rounded('100 * (hop1 + hop2 + hop3)', 'total_users', 2)} AS reach_percentage FROM whole""")
+def promo_reach_all(w: Workspace) -> DataFrame:
+    return ask.promo_reach_all(w.graph, w.usuario)
+
+
 @query(WALK_SQL + """
 SELECT (SELECT count(*) FROM near WHERE hop > 0) AS total_reach, string_agg(id, ',' ORDER BY id) AS reached_users
 FROM (SELECT id FROM near WHERE hop > 0 ORDER BY id LIMIT 50) t""")

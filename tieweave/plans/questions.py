@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tieweave.graph.social import SocialGraph
-from tieweave.graph.walks import bfs_levels
+from tieweave.graph.walks import bfs_levels, reach_of_all
 from tieweave.operators.pairs import BLOCK_ROWS, Groups, both_directions, pairs_in_group, pairs_of
 
 TOP = 20
@@ -402,6 +402,15 @@ def promo_reach(graph: SocialGraph, users: DataFrame, seeds: DataFrame, hops: in
     counts = levels.groupBy(F.col("seed").alias("user_id")).agg(
         *[at_hop(hop) for hop in range(1, hops + 1)]
     )
+    return _reach_shares(counts, users, hops)
+
+
+def promo_reach_all(graph: SocialGraph, users: DataFrame, hops: int = 3) -> DataFrame:
+    """``promo_reach`` of every user."""
+    return _reach_shares(reach_of_all(graph, hops).withColumnRenamed("id", "user_id"), users, hops)
+
+
+def _reach_shares(counts: DataFrame, users: DataFrame, hops: int) -> DataFrame:
     reach = sum(F.col(f"hop{hop}") for hop in range(1, hops + 1))
     names = users.select(F.col("id").alias("user_id"), "username")
     return (
