@@ -47,9 +47,9 @@ def tables(spark):
     return docs, items
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
+@pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_report_matches_by_hand(spark, monkeypatch, limit):
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
     docs, items = tables(spark)
     benchmark = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, at int")
     made = decontaminate.report(frame(spark, docs), benchmark).drop("mark").collect()
@@ -68,6 +68,26 @@ def test_removing_documents_and_spans(spark):
     assert texts[32] == docs[-5][1]
 
 
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_a_line_of_all_items_does_not_multiply(spark, monkeypatch, limit):
+    """One line in all items and all documents: a hit per document and window, and items
+    of the line alone are told from those with a text of their own."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+    line = prose(70, 12)
+    items = [(k, line + " " + prose(100 + k, 10)) for k in range(60)] + [(None, line)]
+    docs = [(k, prose(300 + k, 15) + " " + line) for k in range(20)]
+    docs += [(90, items[7][1]), (None, line), (None, line), (91, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    table = frame(spark, docs)
+    classes, weight = decontaminate.item_lists(decontaminate.benchmark_windows(benchmark, 10))
+    found = decontaminate.hits(decontaminate.documents(table), classes, weight)
+    assert found.groupBy("doc_id").count().filter("doc_id < 90").agg({"count": "max"}).first()[0] == 3
+    assert found.filter("doc_id < 20").select("items").distinct().count() == 1
+    made = decontaminate.report(table, benchmark).drop("mark").collect()
+    listed = [(k, text) for k, text in items if k is not None]
+    assert sorted(str(tuple(r)) for r in made) == by_hand(docs, listed)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = frame(spark, odd_rows())
