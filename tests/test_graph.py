@@ -303,3 +303,29 @@ def test_strangers_with_hubs_and_later_attendance(spark):
         graph, _, edges = make_graph(spark, names, ties, block_rows)
         found = questions.strangers_same_circle(graph, edges, went, limit=None).collect()
         assert sorted(tuple(row) for row in found) == expected
+
+
+def test_top_strangers_without_pairing_the_largest_circles(spark):
+    names, ties = random_ties(24, 0.2, seed=5)
+    star = names[0]
+    tied = {frozenset(t[:2]) for t in ties}
+    ties = ties + [(star, n, 1.0) for n in names[1:] if frozenset((star, n)) not in tied]
+    near = adjacency(ties)
+    expected = sorted(
+        (
+            (a, b, len(near[a].keys() & near[b].keys()))
+            for a, b in itertools.combinations(names, 2)
+            if b not in near[a] and near[a].keys() & near[b].keys()
+        ),
+        key=lambda row: (-row[2], row[0], row[1]),
+    )
+    assert expected[0][2] > 3 and expected[-1][2] == 1
+    for block_rows in (10, 4):
+        graph, _, edges = make_graph(spark, names, ties, block_rows)
+        assert graph.hubs is not None
+        for limit in (1, 5, len(expected) - 3, 500):
+            found = questions.strangers_same_circle(graph, edges, limit=limit).collect()
+            assert [tuple(row) for row in found] == expected[:limit]
+    # The star ties everybody to everybody; without it far fewer pairs are made.
+    assert questions._mutuals(graph, 0).count() == len(names) * (len(names) - 1) // 2
+    assert questions._mutuals(graph, 1).count() < questions._mutuals(graph, 0).count()

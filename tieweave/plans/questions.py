@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from tieweave.graph.social import SocialGraph
 from tieweave.graph.walks import bfs_levels, reach_of_all
 from tieweave.operators.pairs import BLOCK_ROWS, Groups, both_directions, pairs_in_group, pairs_of
+from tieweave.session import RoundTables
 
 TOP = 20
+#: Circles that one long holds as bits.
+MASK_BITS = 63
 
 
 def _share(part: Column | str, whole: Column | str, digits: int) -> Column:
@@ -376,20 +379,57 @@ def strangers_same_circle(
 
     Leave out ``attendance`` when the ties were derived from it: then a shared
     event is a tie and the second test is the first.
+
+    A top list does not pair the neighbours of the largest hubs. Their circles are bits
+    of a mask per user, which count fully for every pair that also meets elsewhere; a
+    pair that meets only within ``h`` such circles has at most ``h`` mutuals. So the
+    list is exact if its last place has more than ``h``; otherwise that place, a lower
+    bound of the right one, says how many hubs can stay out, and a second pass ends it.
     """
-    circles = Groups(graph.edges.select("src", "dst"), ["src"], "dst", graph.hub_blocks())
-    mutual = (
-        pairs_of(circles)
-        .groupBy("user_1", "user_2")
-        .agg(F.count(F.lit(1)).alias("mutuals"))
-    )
     known = ties.select("user_1", "user_2")
     if attendance is not None:
         went = attendance.select("user_id", "event_id").dropna().distinct()
         met = pairs_in_group(went, ["event_id"], "user_id")
         known = known.unionByName(met.select("user_1", "user_2"))
-    strangers = mutual.join(known, ["user_1", "user_2"], "left_anti")
-    return _top(strangers, limit, F.desc("mutuals"), "user_1", "user_2")
+    order = [F.desc("mutuals"), "user_1", "user_2"]
+
+    def found(left_out: int) -> DataFrame:
+        strangers = _mutuals(graph, left_out).join(known, ["user_1", "user_2"], "left_anti")
+        return _top(strangers, limit, *order)
+
+    if not limit or graph.hubs is None:
+        return found(0)
+    left_out = min(MASK_BITS, graph.hubs.count())
+    tables = RoundTables(graph.vertices.sparkSession, "strangers")
+    top, taken = tables.write(found(left_out), least=F.min("mutuals"))
+    least = taken["least"] if taken["rows"] == limit else 0
+    return _top(top, limit, *order) if least > left_out else found(max(0, least - 1))
+
+
+def _mutuals(graph: SocialGraph, left_out: int) -> DataFrame:
+    """``mutuals`` of all pairs with a common neighbour outside the ``left_out`` largest
+    circles, those within included."""
+    blocks, one = graph.hub_blocks(), F.count(F.lit(1))
+    if not left_out:
+        circles = Groups(graph.edges.select("src", "dst"), ["src"], "dst", blocks)
+        return pairs_of(circles).groupBy("user_1", "user_2").agg(one.alias("mutuals"))
+    largest = graph.vertices.orderBy(F.desc("degree"), "id").limit(left_out)
+    largest = [row["id"] for row in largest.select("id").collect()]  # at most MASK_BITS
+    bit = F.array_position(F.lit(largest), F.col("src")) - 1
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))
+    masks = graph.edges.filter(F.col("src").isin(largest)).groupBy(F.col("dst").alias("id")).agg(F.bit_or(mask).alias("mask"))
+    state = graph.vertices.select("id").join(masks, "id", "left").select(
+        "id", F.coalesce("mask", F.lit(0).cast("long")).alias("mask")
+    )
+    circles = graph.along_edges(
+        state, F.col("to").alias("src"), F.col("id").alias("dst"), "mask", rows=graph.vertex_count
+    ).filter(~F.col("src").isin(largest))
+    within = F.max(F.bit_count(F.col("mask_1").bitwiseAND(F.col("mask_2"))))
+    return (
+        pairs_of(Groups(circles, ["src"], "dst", blocks), ("mask",))
+        .groupBy("user_1", "user_2")
+        .agg((one + within).alias("mutuals"))
+    )
 
 
 # Reach
