@@ -133,3 +133,91 @@ def test_thresholds_are_likeliest_for_the_grades(monkeypatch):
     for total, text in zip(totals[:5], texts, strict=False):
         by_hand = [chance(total, threshold) for threshold in model.thresholds]
         assert model.above(np.array([model.total(text)]))[0].tolist() == pytest.approx(by_hand)
+
+
+def network_by_hand(network, text):
+    """The score of one text with loops over its bytes, as the module's first lines say."""
+    size, blocks = len(text), max(1, -(-len(text) // quality.BLOCK))
+
+    def byte(place):
+        return text[place] if 0 <= place < size else 0
+
+    def block(k):
+        places = range(k * quality.BLOCK, (k + 1) * quality.BLOCK)
+        made = [float(x) for place in places for x in network.vectors[byte(place)]]
+        return made + [sum(byte(p) == byte(p - lag) for p in places) / quality.BLOCK for lag in quality.LAGS]
+
+    seen = [block(k) for k in range(blocks + 1)]
+    logit = float(network.shift[0])
+    for f in range(quality.FILTERS):
+        answers = [
+            sum(x * float(w) for side in (0, 1) for x, w in zip(seen[k + side], network.filters[side][:, f], strict=True))
+            for k in range(blocks)
+        ]
+        logit += max(0.0, max(answers) + float(network.bias[f])) * float(network.out[f])
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_scores_of_the_network_by_hand():
+    texts = [b"", b"a", b"\0" * 40, "ñandú 東京 🙂".encode(), prose(5, 30).encode(), b"spam spam " * 12, bytes(range(256))]
+    wanted = np.array([0.0, 1.0, 0.0, 1.0, 1.0, 0.0, 1.0])
+    for network in (quality.Network(3), quality.fit(texts, wanted)):
+        network.bias += np.linspace(-0.2, 0.2, quality.FILTERS).astype(np.float32)
+        by_hand = [network_by_hand(network, text) for text in texts]
+        assert network.scores(texts).tolist() == pytest.approx(by_hand, abs=1e-5)
+
+
+def graded_table():
+    """Toxic texts with one to seven of the words that only they have."""
+    texts, _ = toxic_table()
+    bad = [
+        f"{prose(900 + k, 40)} " + " ".join(f"zzvile{'abcdef'[(k + j) % 6]}" for j in range(1 + k % 7))
+        for k in range(42)
+    ]
+    return texts, bad
+
+
+def test_severity_by_hand(spark):
+    texts, bad = graded_table()
+    model = toxicity.fit(texts + bad, np.array([0.0] * len(texts) + [1.0] * len(bad)))
+    rows = [(k, text) for k, text in enumerate([*texts[:5], *bad[:9], "", None, "ZZVILEA zzvilea ñ 東京 " + "q" * 50])]
+    made = {r.doc_id: r for r in toxicity.grade(frame(spark, rows), model).collect()}
+    for doc_id, text in rows:
+        words = [w for w in "".join(c if c.isalnum() or c == "_" else " " for c in (text or "").lower()).split()]
+        total = 0.0
+        for word in set(words):
+            names = [word, *["^" + word[:n] for n in (4, 5, 6) if len(word) >= n]]
+            if len(word) > 40:
+                names += list({"~" + word[k : k + n] for n in (2, 4) for k in range(len(word) - n + 1)})
+            value = sum(float(model.weights[zlib.crc32(name.encode()) % toxicity.FEATURES]) for name in names)
+            total += value * (1 + np.log(words.count(word)))
+        chances = [1 / (1 + np.exp(-(total - threshold))) for threshold in model.thresholds]
+        row = made[doc_id]
+        assert [row.p_toxic, row.p_2, row.p_3] == pytest.approx(chances)
+        assert row.severity == pytest.approx(sum(chances))
+        assert row.toxic == (total >= model.cut) or abs(total - model.cut) < 1e-9
+
+
+def test_fitted_thresholds_beat_others_on_the_likelihood(monkeypatch):
+    """Grades and likelihood in plain Python: any threshold moved makes the sample less likely."""
+    texts, bad = graded_table()
+    monkeypatch.setattr(toxicity, "STEPS", 2000)
+    model = toxicity.fit(texts + bad, np.array([0.0] * len(texts) + [1.0] * len(bad)))
+    counts = [sum(word.startswith("zzvi") for word in text.split()) for text in bad]
+    grades = [0] * len(texts) + [1 if n < 2 else 2 if n < 5 else 3 for n in counts]
+    assert set(grades) == {0, 1, 2, 3}
+    totals = [model.total(text) for text in texts + bad]
+
+    def unlikely(thresholds):
+        lost = 0.0
+        for total, grade in zip(totals, grades, strict=True):
+            above = [1.0, *[1 / (1 + np.exp(-(total - t))) for t in thresholds], 0.0]
+            lost -= np.log(max(above[grade] - above[grade + 1], 1e-300))
+        return lost / len(totals)
+
+    best = unlikely(model.thresholds)
+    for k in range(3):
+        for move in (-0.3, 0.3):
+            moved = np.array(model.thresholds)
+            moved[k] += move
+            assert unlikely(moved) > best
