@@ -1,7 +1,9 @@
 """Counts from flat files against the encoder, and blocks that cut documents."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import frame, odd_rows
 from tieweave.llm import token_counts
@@ -43,3 +45,17 @@ def test_blocks_are_stitched(spark, size):
 
 def test_an_empty_table_has_no_rows(spark):
     assert token_counts.report(frame(spark, [])).collect() == []
+
+
+def test_another_order_of_rows_stops_the_job(spark):
+    """Rows dealt anew on every read: places of one read do not fit the other."""
+    rows = [(k % 5, f"text number {k}") for k in range(200)]
+    docs = frame(spark, rows)
+    assert token_counts.report(docs.orderBy(F.rand(1))).count() == len(rows)
+
+    def dealt(batches):
+        for batch in batches:
+            yield batch.take(pa.array(np.random.default_rng().permutation(batch.num_rows)))
+
+    with pytest.raises(ValueError, match="another order"):
+        token_counts.report(docs.coalesce(1).mapInArrow(dealt, docs.schema))

@@ -11,12 +11,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tieweave.llm.tables import arrow_schema, documents, schema_of, table
-from tieweave.session import scratch_path
+from tieweave.session import RoundTables, scratch_path
 
 #: Id of ``</s>`` in the vocabulary ``piece_bpe_32k``, which no text encodes to.
 SEPARATOR = 2
@@ -30,40 +30,53 @@ def write_flat(docs: DataFrame, path: str, model: str = "piece_bpe_32k.model") -
     doc_id): which file, by the number of the task that wrote it, and which place.
 
     Each row of the written text table is the ids of one document, and the separator
-    is the end of line. ``docs`` must give equal rows in equal tasks whenever it is
-    read, as a scan of files does; ``counts`` stops if the places do not fit.
+    is the end of line. The places come from a second read of ``docs``. Both passes take
+    a checksum over the place, id and text of every row; if ``docs`` gave its rows in
+    another order, or other rows, the checksums differ and the job stops.
     """
     docs = documents(docs)
+    marked = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("seen"))
+    place = [T.StructField("part", LONG), T.StructField("ordinal", LONG), T.StructField("seen", LONG)]
 
     def encode(batches):
         import public_tokenizers
         import sentencepiece
 
         pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
+        part, ordinal = TaskContext.get().partitionId(), 0
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
-                texts = batch["text"].slice(first, 256).to_pylist()
-                ids = pieces.encode(texts, num_threads=1)
+                piece = batch.slice(first, 256)
+                n = piece.num_rows
+                ids = pieces.encode(piece["text"].to_pylist(), num_threads=1)
                 made = pa.array([np.array(i, "<u2").tobytes() for i in ids], pa.binary())
-                yield pa.RecordBatch.from_arrays([made], names=["ids"])
+                at = [pa.array(np.full(n, part)), pa.array(np.arange(ordinal, ordinal + n)), piece["seen"]]
+                yield pa.RecordBatch.from_arrays([made, *at], names=["ids", "part", "ordinal", "seen"])
+                ordinal += n
 
-    lines = docs.select("text").mapInArrow(encode, "ids binary").select(F.col("ids").cast("string"))
+    lines = marked.select("text", "seen").mapInArrow(encode, T.StructType([T.StructField("ids", T.BinaryType()), *place]))
     end = SEPARATOR.to_bytes(2, "little").decode("ascii")
+    check = F.bit_xor(F.xxhash64("part", "ordinal", "seen")).alias("check")
+    written = Observation()
+    lines = lines.observe(written, F.count(F.lit(1)).alias("rows"), check).select(F.col("ids").cast("string"))
     lines.write.option("lineSep", end).text(path)
 
-    schema = T.StructType([T.StructField("part", LONG), T.StructField("ordinal", LONG)])
-    schema.add(schema_of(docs)[0])
+    schema = T.StructType([*place, schema_of(docs)[0]])
     arrow = arrow_schema(schema)
 
     def number(batches):
-        part, seen = TaskContext.get().partitionId(), 0
+        part, ordinal = TaskContext.get().partitionId(), 0
         for batch in batches:
             n = batch.num_rows
-            columns = [pa.array(np.full(n, part)), pa.array(np.arange(seen, seen + n)), batch["doc_id"]]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-            seen += n
-
-    return docs.select("doc_id").mapInArrow(number, schema)
+            at = [pa.array(np.full(n, part)), pa.array(np.arange(ordinal, ordinal + n))]
+            yield pa.RecordBatch.from_arrays([*at, batch["seen"], batch["doc_id"]], schema=arrow)
+            ordinal += n
+
+    places = marked.select("doc_id", "seen").mapInArrow(number, schema)
+    kept, numbered = RoundTables(docs.sparkSession, "places").write(places, check=F.bit_xor(F.xxhash64("part", "ordinal", "seen")))
+    if (numbered["rows"], numbered["check"]) != (written.get["rows"], written.get["check"]):
+        raise ValueError("two reads of the documents gave different rows or another order")
+    return kept.drop("seen")
 
 
 def blocks(files: DataFrame, separator: int = SEPARATOR, size: int = BLOCK_IDS) -> DataFrame:
