@@ -197,3 +197,12 @@ def test_parts_grow_with_the_index(spark):
             widths.append(128 // len(masks))
         assert widths == sorted(widths)
     assert widths[0] < 18 and widths[-1] == 32
+
+
+def test_one_word_over_and_over_in_a_long_text(spark):
+    """Every vote falls on the same bits, so the uppermost counters run highest."""
+    word = next(w for w in map("longword{}".format, range(999)) if xxhash.xxh64(w.encode(), 1).intdigest())
+    rows = [(1, f"{word} " * 40_000), (2, f"{word} " * 20), (3, "ka lo")]
+    made = {r.doc_id: r for r in report(frame(spark, rows), radius=3).collect()}
+    assert made[1].n_chars == 40_000 * (len(word) + 1)
+    assert bin(int(made[1].fingerprint, 16) ^ int(made[2].fingerprint, 16)).count("1") < 40

@@ -15,10 +15,11 @@ from tieweave.session import RoundTables
 SPACE = r"[\x20\x09-\x0D]+"
 #: Bits of a fingerprint: two hashes of 64 bits.
 BITS = 128
-#: Votes are counted four to a long, each in 16 bits; a row may bring so many words
-#: before its counters could run over, longer texts are counted in several rows.
+#: Votes are counted four to a long, each in 16 bits, of which the uppermost counter
+#: has the sign; a row may bring so many words, 3 votes each, before its counters could
+#: run over, longer texts are counted in several rows.
 LANES = 0x0001000100010001
-CHUNK_BITS = 14
+CHUNK_BITS = 13
 #: Shares of a document's weight: a pair of neighbouring words and a word of more
 #: than three letters vote; pairs tell texts of one language apart, words soften
 #: the effect of small edits.
