@@ -108,3 +108,29 @@ def test_social_tie_weights(spark):
     assert (row["shared_attendances"], row["shared_purchases"], row["shared_reservations"]) == (1, 1, 1)
     assert row["tie_strength"] == 2.0
     assert (row["first_shared_event"], row["last_shared_event"]) == ("2024-01-01", "2024-02-02")
+
+
+@pytest.mark.parametrize("block_rows", [2000, 400])
+def test_pairs_are_dealt_by_their_number_not_by_the_bytes_of_members(spark, block_rows):
+    rows = spark.range(3000).select(
+        (F.col("id") % 3).cast("string").alias("grp"), F.concat(F.lit("u"), F.col("id").cast("string")).alias("who")
+    )
+    groups = gather_groups(rows, ["grp"], "who", block_rows)
+    assert groups.parts == 4  # of the session's cores; 1.5 million pairs
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pairs_in_group(rows, ["grp"], "who", (), block_rows)
+        tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+        assert found.count() == 3 * 1000 * 999 // 2
+        assert tasks >= (3 if block_rows == 400 else 2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_pair_count_beyond_the_cores_gets_more_tasks(spark, monkeypatch):
+    from tieweave.operators import pairs
+
+    monkeypatch.setattr(pairs, "TASK_PAIRS", 1000)
+    rows = spark.range(300).select(F.lit("a").alias("grp"), F.col("id").cast("string").alias("who"))
+    groups = gather_groups(rows.unionByName(rows.withColumn("grp", F.lit("b"))), ["grp"], "who", 50)
+    assert groups.parts == 90  # 2 * 300 * 299 / 2 pairs, 1000 to a task
