@@ -103,3 +103,19 @@ def test_the_query_words_in_documents_and_empty_tables(spark, tmp_path):
     assert places and all(roots[r.run] == r.root != r.run for r in places)
     frame(spark, [(1, None), (2, "")]).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert spelling.op13_spelling_variants(spark, f"{tmp_path.as_uri()}/none").collect() == []
+
+
+def test_no_vocabulary_is_sent_whole(spark, monkeypatch):
+    """A written vocabulary is small as a file; it is joined by shuffles all the same."""
+    plans, write = [], spelling.RoundTables.write
+
+    def seen(self, df, **measures):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, **measures)
+
+    monkeypatch.setattr(spelling.RoundTables, "write", seen)
+    words = spark.createDataFrame(list(words_by_hand(corpus(), 3).items()), "word string, n long")
+    made = spelling.variants(words, full=4)
+    plans.append(made._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in plan for plan in plans) > 3
+    assert not [plan for plan in plans if "Broadcast" in plan]

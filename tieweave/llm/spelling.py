@@ -29,6 +29,13 @@ SYMBOLS = 8
 FULL = 128
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` for a join that never sends it whole. Written words are small as files and
+    many times larger as the hash tables that a broadcast makes of them on the driver,
+    and every join here has as many rows as the vocabulary."""
+    return df.hint("merge")
+
+
 def runs(docs: DataFrame) -> DataFrame:
     """(doc_id, run): every maximal run of letters with a word's length at least, A-Z
     lowered; shorter runs cannot become words."""
@@ -101,17 +108,16 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, full: int = FULL) -> Da
     small = reduced.filter(F.col("size") <= full)
     around = small.select("code", F.explode(neighbourhood(F.col("reduced"), listed)).alias("to"))
     codes = small.select(F.col("code").alias("to")).distinct()
-    met = around.filter("to >= code").join(codes, "to").select("code", "to").distinct()
+    met = around.filter("to >= code").join(merged(codes), "to").select("code", "to").distinct()
     coded = words.select("word", "n", code.alias("code"))
     other = words.select(F.col("word").alias("other"), F.col("n").alias("m"), code.alias("to"))
     ordered = (F.col("to") > F.col("code")) | (F.col("other") > F.col("word"))
-    half = coded.join(met, "code").join(other, "to").filter(ordered)
+    half = coded.join(merged(met), "code").join(merged(other), "to").filter(ordered)
     pairs = half.filter(F.levenshtein("word", "other", 1) == 1).select("word", "n", "other", "m")
     if (counted["fullest"] or 0) > full:
         crowded = reduced.filter(F.col("size") > full).select("code").distinct()
-        inside = F.broadcast(crowded) if counted["rows"] <= 1_000_000 else crowded
         marked, _ = rounds.write(
-            coded.join(inside.withColumn("crowded", F.lit(True)), "code", "left")
+            coded.join(merged(crowded.withColumn("crowded", F.lit(True))), "code", "left")
             .select("word", "n", F.coalesce("crowded", F.lit(False)).alias("crowded"))
         )
         letters = list(alphabet(None)[0])
@@ -122,7 +128,7 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, full: int = FULL) -> Da
         found = marked.filter("crowded").select("word", "n", F.explode(neighbourhood(F.col("word"), letters)).alias("to"))
         # A pair of two crowded words is found from both of them.
         once = ~F.col("both") | (F.col("other") > F.col("word"))
-        found = found.join(itself, "to").filter(once & (F.levenshtein("word", "other", 1) == 1))
+        found = found.join(merged(itself), "to").filter(once & (F.levenshtein("word", "other", 1) == 1))
         pairs = pairs.unionByName(found.select("word", "n", "other", "m"))
     kept, _ = rounds.write(pairs)
     turned = kept.select(
@@ -139,7 +145,7 @@ def roots(forms: DataFrame) -> DataFrame:
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
         after, taken = rounds.write(
-            now.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next"),
+            now.join(merged(further), "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next"),
             moved=F.count_if(F.col("next").isNotNull()),
         )
         rounds.drop(now)
@@ -162,13 +168,13 @@ def variants(words: DataFrame, ratio: int = RATIO, symbols: int = SYMBOLS, full:
     near = near_pairs(words, symbols, full).groupBy("word").agg(F.count("*").alias("n_near"), best)
     fits = -F.col("best.m") >= F.col("n") * ratio
     made, _ = rounds.write(
-        words.join(near, "word", "left").select(
+        words.join(merged(near), "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             F.when(fits, F.col("best.form")).alias("form"), F.when(fits, -F.col("best.m")).alias("form_n"),
         )
     )
     last = roots(made.filter("form IS NOT NULL"))
-    return made.join(last, "word", "left").select(
+    return made.join(merged(last), "word", "left").select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root")
     )
 
@@ -177,7 +183,7 @@ def spelt_as(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     """(doc_id, run, root, times): the words of each document that have another root."""
     other = grouped.filter("word <> root").select(F.col("word").alias("run"), "root")
     times = runs(documents(docs)).groupBy("doc_id", "run").agg(F.count("*").alias("times"))
-    return times.join(other, "run").select("doc_id", "run", "root", "times")
+    return times.join(merged(other), "run").select("doc_id", "run", "root", "times")
 
 
 def op13_spelling_variants(spark: SparkSession, directory: str) -> DataFrame:
