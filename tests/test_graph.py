@@ -329,3 +329,22 @@ def test_top_strangers_without_pairing_the_largest_circles(spark):
     # The star ties everybody to everybody; without it far fewer pairs are made.
     assert questions._mutuals(graph, 0).count() == len(names) * (len(names) - 1) // 2
     assert questions._mutuals(graph, 1).count() < questions._mutuals(graph, 0).count()
+
+
+def test_reach_of_everybody_in_turns_keeps_few_levels(spark, monkeypatch):
+    from tieweave.graph import walks
+
+    names, ties = random_ties(150, 0.013, seed=5)
+    graph, _, _ = make_graph(spark, names, ties, 10_000)
+    whole = sorted(reach_of_all(graph, 4).collect())
+    kept, write = [], walks.RoundTables.write
+
+    def watched(self, df, **measures):
+        made = write(self, df, **measures)
+        kept.append(sum("mask" in table.columns for table, _ in self.tables))
+        return made
+
+    monkeypatch.setattr(walks.RoundTables, "write", watched)
+    # 150 vertices in 3 batches of seeds: a batch at a time.
+    assert sorted(reach_of_all(graph, 4, batch_rows=150).collect()) == whole
+    assert max(kept) <= 3
