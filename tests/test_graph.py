@@ -271,6 +271,20 @@ def label_propagation(names, near, rounds=10):
     return label
 
 
+def test_a_round_of_a_small_state_reads_the_edges_once(spark):
+    from tieweave.graph import communities as made
+
+    edges = spark.createDataFrame([(1, 2, 1), (2, 1, 1)], "src long, dst long, weight long").persist()
+    state = spark.createDataFrame(
+        [(1, 1, 1, 1, True, False), (2, 1, 2, 2, False, True)],
+        "id long, k long, community long, was long, wish boolean, moved boolean",
+    )
+    wishes = made._wishes(made._Level(edges, state, 2, whole=False), state, 2)
+    assert wishes._jdf.queryExecution().withCachedData().toString().count("InMemoryRelation") == 1
+    assert [(r["id"], r["target"]) for r in wishes.collect()] == [(2, 1)]
+    edges.unpersist()
+
+
 def test_louvain_properties_on_shared_data(spark, small):
     found = louvain(small.graph)
     label = {row["id"]: row["community"] for row in found.collect()}
