@@ -134,3 +134,18 @@ def test_a_pair_count_beyond_the_cores_gets_more_tasks(spark, monkeypatch):
     rows = spark.range(300).select(F.lit("a").alias("grp"), F.col("id").cast("string").alias("who"))
     groups = gather_groups(rows.unionByName(rows.withColumn("grp", F.lit("b"))), ["grp"], "who", 50)
     assert groups.parts == 90  # 2 * 300 * 299 / 2 pairs, 1000 to a task
+
+
+@pytest.mark.parametrize("block_rows", [2000, 5])
+def test_sums_over_pairs_are_dealt_by_the_counted_pairs(spark, monkeypatch, block_rows):
+    from tieweave.operators import pairs
+
+    monkeypatch.setattr(pairs, "TASK_PAIRS", 100)
+    attendance, events, reservations = bookings(spark)
+    ties = conoce_a(attendance, events, reservations, block_rows)
+    plan = ties._jdf.queryExecution().optimizedPlan().toString()
+    members = [row["n"] for frame in (attendance, reservations) for row in frame.dropna(subset=["user_id", "event_id"])
+               .select("event_id", "user_id").distinct().groupBy("event_id").agg(F.count("*").alias("n")).collect()]
+    parts = max(1, -(-sum(n * (n - 1) // 2 for n in members) // 100))
+    assert parts > 2 and f"RepartitionByExpression [user_1" in plan and f", {parts}" in plan
+    assert ties.count() == conoce_a(attendance, events, reservations).count()
