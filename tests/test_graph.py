@@ -276,7 +276,7 @@ def test_a_round_of_a_small_state_reads_the_edges_once(spark):
 
     edges = spark.createDataFrame([(1, 2, 1), (2, 1, 1)], "src long, dst long, weight long").persist()
     state = spark.createDataFrame(
-        [(1, 1, 1, 1, True, False), (2, 1, 2, 2, False, True)],
+        [(1, 1, 1, 1, False, True), (2, 1, 2, 2, False, False)],
         "id long, k long, community long, was long, wish boolean, moved boolean",
     )
     wishes = made._wishes(made._Level(edges, state, 2, whole=False), state, 2)
