@@ -3,6 +3,7 @@
 import heapq
 import itertools
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -362,3 +363,43 @@ def test_reach_of_everybody_in_turns_keeps_few_levels(spark, monkeypatch):
     # 150 vertices in 3 batches of seeds: a batch at a time.
     assert sorted(reach_of_all(graph, 4, batch_rows=150).collect()) == whole
     assert max(kept) <= 3
+
+
+def test_strangers_are_dealt_by_their_number_and_known_ones_left_out_there(spark, monkeypatch):
+    names, ties = random_ties(30, 0.2, seed=3)
+    graph, _, edges = make_graph(spark, names, ties)
+    near = adjacency(ties)
+    pairs = sum(len(n) * (len(n) - 1) // 2 for n in near.values())
+    monkeypatch.setattr(questions, "partitions_for", lambda spark, rows, *most: rows // 50)
+    dealt = questions._mutuals(graph, 0, edges.select("user_1", "user_2"))
+    counted = sum(len(near[a].keys() & near[b].keys()) for a, b in itertools.combinations(names, 2) if b not in near[a])
+    assert sum(row["mutuals"] for row in dealt.collect()) == counted < pairs
+    # One shuffle deals the pairs; the known ones meet them there, not in a join.
+    plan = dealt._jdf.queryExecution().sparkPlan().toString().lower()
+    assert "leftanti" not in plan
+    assert f"hashpartitioning(user_1, user_2, {pairs // 50})" in re.sub(r"#\d+l?", "", plan)
+
+
+def test_recommendations_count_arrivals_and_keep_events_listed_twice(spark, monkeypatch):
+    names, ties = random_ties(12, 0.4, seed=4)
+    graph, _, _ = make_graph(spark, names, ties)
+    near = adjacency(ties)
+    went = [(name, f"e{i % 5}") for i, name in enumerate(names)] + [(names[0], "e9")]
+    events = [(f"e{i}", f"n{i}") for i in range(5)] + [("e1", "n1")]
+    asked = []
+    monkeypatch.setattr(questions, "partitions_for", lambda spark, rows, *most: asked.append(rows) or 3)
+    found = questions.event_recommendation_all(
+        graph, spark.createDataFrame(went, "user_id string, event_id string"),
+        spark.createDataFrame(events, "id string, name string"), limit=2,
+    ).collect()
+    expected = []
+    for name in names:
+        score = defaultdict(lambda: [0.0, 0])
+        for friend, event in went:
+            if friend in near[name] and event != "e9" and (name, event) not in went:
+                score[event][0] += near[name][friend]
+                score[event][1] += 1
+        best = sorted(((-s, -n, e) for e, (s, n) in score.items() for _ in range(2 if e == "e1" else 1)))[:2]
+        expected += [(name, e, "n" + e[1], -s, -n, i + 1) for i, (s, n, e) in enumerate(best)]
+    assert sorted(map(tuple, found)) == sorted(expected)
+    assert asked == [sum(len(near[name]) for name, event in went if event != "e9")]
