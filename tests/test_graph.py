@@ -388,10 +388,11 @@ def test_recommendations_count_arrivals_and_keep_events_listed_twice(spark, monk
     events = [(f"e{i}", f"n{i}") for i in range(5)] + [("e1", "n1")]
     asked = []
     monkeypatch.setattr(questions, "partitions_for", lambda spark, rows, *most: asked.append(rows) or 3)
-    found = questions.event_recommendation_all(
-        graph, spark.createDataFrame(went, "user_id string, event_id string"),
-        spark.createDataFrame(events, "id string, name string"), limit=2,
-    ).collect()
+    tables = (
+        spark.createDataFrame(went, "user_id string, event_id string"),
+        spark.createDataFrame(events, "id string, name string"),
+    )
+    found = questions.event_recommendation_all(graph, *tables, limit=2).collect()
     expected = []
     for name in names:
         score = defaultdict(lambda: [0.0, 0])
@@ -403,3 +404,6 @@ def test_recommendations_count_arrivals_and_keep_events_listed_twice(spark, monk
         expected += [(name, e, "n" + e[1], -s, -n, i + 1) for i, (s, n, e) in enumerate(best)]
     assert sorted(map(tuple, found)) == sorted(expected)
     assert asked == [sum(len(near[name]) for name, event in went if event != "e9")]
+    hubs, _, _ = make_graph(spark, names, ties, 2)
+    assert hubs.hubs is not None
+    assert sorted(map(tuple, questions.event_recommendation_all(hubs, *tables, limit=2).collect())) == sorted(expected)

@@ -370,10 +370,12 @@ def event_recommendation_all(
         went.withColumnRenamed("user_id", "id"), F.col("to").alias("user_id"), "event_id", "weight",
         F.lit(None).cast("boolean").alias("own"),
     )
+    # Without hubs nobody has more than a task can rank, so users are not shuffled again.
+    dealt_by = ["user_id"] if graph.hubs is None else ["user_id", "event_id"]
     own = went.withColumns({"weight": F.lit(None).cast("double"), "own": F.lit(True)})
     scored = (
         seen.unionByName(own)
-        .repartition(partitions_for(events.sparkSession, arriving or 0, TASK_PAIRS), "user_id", "event_id")
+        .repartition(partitions_for(events.sparkSession, arriving or 0, TASK_PAIRS), *dealt_by)
         .groupBy("user_id", "event_id")
         .agg(F.sum("weight").alias("score"), F.count(F.lit(1)).alias("friends_attended"), F.max("own").alias("own"))
         .filter("own IS NULL")
