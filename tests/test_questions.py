@@ -1,8 +1,12 @@
 """Questions on small tables with known answers."""
 
 import itertools
+from collections import Counter
+
+import pytest
 
 from tieweave.graph.social import project_graph
+from tieweave.operators import pairs as operator_pairs
 from tieweave.plans import questions as ask
 
 
@@ -100,6 +104,36 @@ def test_null_table_types_never_match(spark):
     assert [tuple(r) for r in ask.same_vip_table(ties, booked, tables).collect()] == [("a", "b", True, None, 1)]
 
 
+@pytest.mark.parametrize("most", [1, 500_000])
+def test_pairs_at_tables_and_ties_are_shuffled_once(spark, monkeypatch, most):
+    monkeypatch.setattr(operator_pairs, "TASK_PAIRS", most)
+    names = [f"u{k:02d}" for k in range(12)]
+    ties = ties_of(spark, *[pair for k, pair in enumerate(itertools.combinations(names, 2)) if k % 3])
+    booked = spark.createDataFrame(
+        [(u, f"t{(i + k) % 3}", f"e{k}") for i, u in enumerate(names) for k in range(2)],
+        "user_id string, table_id string, event_id string",
+    )
+    tables = spark.createDataFrame(
+        [("t0", "vip", True, 4), ("t1", "regular", False, 4), ("t2", "vip", True, 6)],
+        "id string, table_type string, is_vip boolean, capacity int",
+    )
+    kinds = {t["id"]: t for t in tables.collect()}
+    at = [(r["user_id"], r["event_id"], kinds[r["table_id"]]) for r in booked.collect()]
+    tied = {(r["user_1"], r["user_2"]) for r in ties.collect()}
+    met = [(u, v, a, b) for u, e, a in at for v, f, b in at if e == f and (u, v) in tied]
+    vip = Counter((u, v, a["is_vip"], a["capacity"]) for u, v, a, b in met if a["is_vip"] == b["is_vip"])
+    kind = Counter((u, v, a["table_type"]) for u, v, a, b in met if a["table_type"] == b["table_type"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for question, wanted in ((ask.same_vip_table, vip), (ask.same_table_type, kind)):
+            found = question(ties, booked, tables, None)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(user_1") == 2, plan
+            assert sorted(map(tuple, found.collect())) == sorted((*pair, n) for pair, n in wanted.items())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_first_meetings_on_one_date(spark):
     """Two shared events on the first date: by order one counts, by date both."""
     went = spark.createDataFrame(

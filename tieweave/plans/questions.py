@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tieweave.graph.social import SocialGraph
 from tieweave.graph.walks import bfs_levels, reach_of_all
-from tieweave.operators.pairs import BLOCK_ROWS, TASK_PAIRS, Groups, both_directions, pairs_in_group, pairs_of
+from tieweave.operators.pairs import (
+    BLOCK_ROWS, TASK_PAIRS, Groups, both_directions, gather_groups, pairs_in_group, pairs_of,
+)
 from tieweave.session import RoundTables, partitions_for, sent_whole
 
 TOP = 20
@@ -268,8 +270,26 @@ def large_groups(attendance: DataFrame, limit: int | None = TOP) -> DataFrame:
 # Tables booked together
 
 
-def _tied_only(pairs: DataFrame, ties: DataFrame) -> DataFrame:
-    return pairs.join(ties.select("user_1", "user_2"), ["user_1", "user_2"], "left_semi")
+def _tied_matches(
+    ties: DataFrame, booked: DataFrame, keys: list[str], payload: tuple[str, ...], kinds: list[Column], block_rows: int
+) -> DataFrame:
+    """Tied pairs among ``booked`` by ``kinds``, with their ``matches``.
+
+    Pairs and ties are dealt by their ends to as many tasks, at least one for each
+    ``TASK_PAIRS``, so the sum and the join need no further shuffle.
+    """
+    groups = gather_groups(booked, keys, "user_id", block_rows)
+    matches = pairs_of(groups, (*payload, "times")).select(
+        "user_1", "user_2", *kinds, (F.col("times_1") * F.col("times_2")).alias("matches")
+    )
+    usual = int(ties.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [groups.parts] if groups.parts > usual else []
+    dealt = lambda rows: rows.repartition(*by, "user_1", "user_2")
+    return (
+        dealt(matches).groupBy(*[name for name in matches.columns if name != "matches"])
+        .agg(F.sum("matches").alias("matches"))
+        .join(dealt(ties.select("user_1", "user_2")), ["user_1", "user_2"], "left_semi")
+    )
 
 
 def same_table_type(
@@ -282,14 +302,8 @@ def same_table_type(
         .groupBy("event_id", "table_type", "user_id")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    matches = (
-        pairs_in_group(booked, ["event_id", "table_type"], "user_id", ("times",), block_rows)
-        .groupBy("user_1", "user_2", "table_type")
-        .agg(F.sum(F.col("times_1") * F.col("times_2")).alias("matches"))
-    )
-    return _top(
-        _tied_only(matches, ties), limit, F.desc("matches"), "user_1", "user_2", "table_type"
-    )
+    tied = _tied_matches(ties, booked, ["event_id", "table_type"], (), [F.col("table_type")], block_rows)
+    return _top(tied, limit, F.desc("matches"), "user_1", "user_2", "table_type")
 
 
 def same_vip_table(
@@ -302,14 +316,10 @@ def same_vip_table(
         .groupBy("event_id", "is_vip", "user_id", "capacity")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    matches = (
-        pairs_in_group(booked, ["event_id", "is_vip"], "user_id", ("capacity", "times"), block_rows)
-        .groupBy("user_1", "user_2", "is_vip", F.col("capacity_1").alias("capacity"))
-        .agg(F.sum(F.col("times_1") * F.col("times_2")).alias("matches"))
-    )
+    kinds = [F.col("is_vip"), F.col("capacity_1").alias("capacity")]
+    tied = _tied_matches(ties, booked, ["event_id", "is_vip"], ("capacity",), kinds, block_rows)
     return _top(
-        _tied_only(matches, ties), limit, F.desc("matches"), "user_1", "user_2", "is_vip",
-        F.asc_nulls_last("capacity"),
+        tied, limit, F.desc("matches"), "user_1", "user_2", "is_vip", F.asc_nulls_last("capacity")
     )
 
 
