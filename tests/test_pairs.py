@@ -6,8 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SMALL
 from tieweave.operators.pairs import gather_groups, pairs_in_group
 from tieweave.operators.ties import conoce_a, conoce_a_incremental, social_ties
+from tieweave.plans import catalog, registry  # noqa: F401
 
 
 def bookings(spark, seed=1, people=40, hot=True):
@@ -97,6 +99,20 @@ def test_incremental_equals_full(spark, block_rows):
     assert sorted(map(tuple, updated.collect())) == sorted(map(tuple, full.select(*updated.columns).collect()))
 
 
+def test_touched_users_are_found_once_and_joined_by_merging(spark):
+    made = registry.run("conoce_a_incremental", spark, SMALL)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    physical = made._jdf.queryExecution().executedPlan().toString()
+    assert "touched-" in physical and "o_orderstatus" not in plan
+    # The ties and the touched, once each; then the ties stay there.
+    assert physical.count("Exchange hashpartitioning(user_2") == 2, physical
+    joins = [line for line in plan.splitlines() if "Join Left" in line and "user_" in line]
+    assert len(joins) >= 4 and all("strategy=merge" in line for line in joins), plan
+    assert sorted(map(tuple, made.collect())) == sorted(
+        map(tuple, registry.run("conoce_a", spark, SMALL).select(*made.columns).collect())
+    )
+
+
 def test_social_tie_weights(spark):
     edge = lambda rows: spark.createDataFrame(rows, "event_id long, user_id long")
     days = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-02")], "event_id long, event_date string")
