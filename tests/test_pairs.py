@@ -165,3 +165,26 @@ def test_sums_over_pairs_are_dealt_by_the_counted_pairs(spark, monkeypatch, bloc
     parts = max(1, -(-sum(n * (n - 1) // 2 for n in members) // 100))
     assert parts > 2 and f"RepartitionByExpression [user_1" in plan and f", {parts}" in plan
     assert ties.count() == conoce_a(attendance, events, reservations).count()
+
+
+@pytest.mark.parametrize("block_rows", [2000, 3])
+def test_ties_travel_as_lists_and_repeated_events_count(spark, block_rows):
+    went = [("a", "e"), ("b", "e"), ("b", "e"), ("c", "e"), ("d", "f"), ("e", "f"), ("a", "gone"), (None, "e"), ("a", None)]
+    booked = [("a", "e"), ("a", "e"), ("b", "e"), ("d", "e"), ("a", "gone"), ("c", "gone"), ("d", "f")]
+    days = [("e", "2024-01-01"), ("e", "2024-01-03"), ("f", None), (None, "2024-01-09")]
+    attendance = spark.createDataFrame([(*row, "vip") for row in went], "user_id string, event_id string, ticket_tier string")
+    events = spark.createDataFrame(days, "id string, event_date string").select("id", F.col("event_date").cast("date"))
+    ties = conoce_a(attendance, events, spark.createDataFrame(booked, "user_id string, event_id string"), block_rows)
+    dates = lambda r: [str(r[c])[:10] for c in ("first_shared_event", "last_shared_event")]
+    assert {(r["user_1"], r["user_2"]): (
+        r["shared_events"], r["shared_vip_events"], r["shared_reservations"], r["tie_strength"], *dates(r)
+    ) for r in ties.collect()} == {
+        # Two events of one id are met in four ways.
+        ("a", "b"): (4, 4, 2, 7.5, "2024-01-01", "2024-01-03"), ("a", "c"): (4, 4, 1, 6.75, "2024-01-01", "2024-01-03"),
+        ("b", "c"): (4, 4, 0, 6.0, "2024-01-01", "2024-01-03"), ("d", "e"): (1, 1, 0, 1.5, "None", "None"),
+    }
+    # A pair is made after the shuffle, from the list of its first end.
+    plan = ties._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("RepartitionByExpression [user_1") and "user_id" not in (
+        plan[plan.index("RepartitionByExpression [user_1"):].splitlines()[0]
+    )
