@@ -407,3 +407,30 @@ def test_recommendations_count_arrivals_and_keep_events_listed_twice(spark, monk
     hubs, _, _ = make_graph(spark, names, ties, 2)
     assert hubs.hubs is not None
     assert sorted(map(tuple, questions.event_recommendation_all(hubs, *tables, limit=2).collect())) == sorted(expected)
+
+
+@pytest.mark.parametrize("cut", [3, 1 << 18])
+def test_walks_from_everybody_are_made_within_tasks(spark, monkeypatch, cut):
+    from tieweave.graph import packed
+    from tieweave.session import RoundTables
+
+    monkeypatch.setattr(packed, "SLICE", cut)
+    names, ties = random_ties(40, 0.09, seed=8)
+    far, more = random_ties(70, 0.09, seed=9)
+    ties += [(f"x{a}", f"x{b}", w) for a, b, w in more] + [("hub", name, 4.25) for name in names[5:]]
+    names += [f"x{name}" for name in far] + ["hub", "alone"]
+    graph, _, _ = make_graph(spark, names, ties, 20)
+    assert graph.hubs is not None
+    written, write = [], RoundTables.write
+    monkeypatch.setattr(RoundTables, "write", lambda self, df, **m: written.append(df.columns) or write(self, df, **m))
+    found = {row["id"]: row["score"] for row in betweenness(graph).collect()}
+    assert found == pytest.approx(brute_betweenness(names, adjacency(ties), True), abs=1e-9)
+    reached = {row["id"]: [row["hop1"], row["hop2"], row["hop3"]] for row in reach_of_all(graph, 3).collect()}
+    seeds = spark.createDataFrame([(name,) for name in names], "seed string")
+    walked = {name: [0, 0, 0] for name in names}
+    for row in bfs_levels(graph, seeds, 3).filter("level > 0").groupBy("seed", "level").count().collect():
+        walked[row["seed"]][row["level"] - 1] = row["count"]
+    assert reached == walked
+    # No table holds a row for each source and vertex, nor for each round.
+    assert not any({"source", "batch"} & set(columns) for columns in written)
+    assert not packed.may_be_packed(make_graph(spark, ["a", "b"], [])[0])
